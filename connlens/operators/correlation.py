@@ -25,36 +25,40 @@ SMALL_TOTAL = 5_000_000
 # A value with more than this share of the rows is spread over several join keys.
 HOT_SHARE = 1_000
 
-_WEIGHT = "_weight"
 _SUMS = "a int, b int, total double"
 
 
 def _complete(df: DataFrame, columns: list[str]) -> DataFrame:
-    """The columns as doubles; correlation is defined on rows without nulls and NaN."""
-    return df.select(*[F.col(c).cast("double").alias(c) for c in columns]).dropna()
+    """The columns of each row as one array ``x``; rows with a null or NaN have no correlation.
+
+    A single array and a single predicate also keep the optimizer from deriving constraints for
+    every combination of columns.
+    """
+    values = [F.col(c).cast("double") for c in columns]
+    missing = [v.isNull() | F.isnan(v) for v in values]
+    gap = F.greatest(*missing) if len(missing) > 1 else missing[0]
+    return df.filter(~gap).select(F.array(*values).alias("x"), F.lit(1.0).alias("weight"))
 
 
-def _cross_sums(df: DataFrame, columns: list[str], centre: list[float], ranks=None) -> DataFrame:
+def _cross_sums(rows: DataFrame, centre: list[float], ranks=None) -> DataFrame:
     """Sum over the rows of weight * (x_a - centre_a) * (x_b - centre_b) for every a <= b.
 
-    ``ranks`` is a broadcast {column: (sorted values, their ranks)} for columns still holding
-    plain values.
+    ``ranks`` is a broadcast {position: (sorted values, their ranks)} for the columns still
+    holding plain values.
     """
-    size = len(columns)
+    size = len(centre)
     middle = np.array(centre)
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = ranks.value if ranks is not None else {}
         sums = np.zeros((size, size))
         for batch in batches:
-            x = np.empty((batch.num_rows, size))
-            for i, name in enumerate(columns):
-                values = batch.column(name).to_numpy(zero_copy_only=False)
-                if name in tables:
-                    known, rank = tables[name]
-                    values = rank[np.searchsorted(known, values)]
-                x[:, i] = values - middle[i]
-            weight = batch.column(_WEIGHT).to_numpy(zero_copy_only=False).astype(float)
+            x = batch.column("x").flatten().to_numpy(zero_copy_only=False)
+            x = x.reshape(batch.num_rows, size).copy()
+            for position, (known, rank) in tables.items():
+                x[:, position] = rank[np.searchsorted(known, x[:, position])]
+            x -= middle
+            weight = batch.column("weight").to_numpy(zero_copy_only=False)
             sums += x.T @ (x * weight[:, None])
         a, b = np.triu_indices(size)
         yield pa.RecordBatch.from_arrays(
@@ -63,7 +67,7 @@ def _cross_sums(df: DataFrame, columns: list[str], centre: list[float], ranks=No
         )
 
     return (
-        df.select(*columns, _WEIGHT)
+        rows.select("x", "weight")
         .mapInArrow(partial, _SUMS)
         .groupBy("a", "b")
         .agg(F.sum("total").alias("total"))
@@ -96,20 +100,20 @@ def _matrix(sums: DataFrame, columns: list[str]) -> DataFrame:
 
 def pearson_matrix(df: DataFrame, columns: list[str]) -> DataFrame:
     """Pearson correlation of all pairs of columns."""
-    rows = _complete(df, columns).withColumn(_WEIGHT, F.lit(1.0))
-    means = rows.agg(*[F.avg(c) for c in columns]).first()
-    return _matrix(_cross_sums(rows, columns, [m or 0.0 for m in means]), columns)
+    rows = _complete(df, columns)
+    means = rows.agg(*[F.avg(F.get("x", F.lit(i))) for i in range(len(columns))]).first()
+    return _matrix(_cross_sums(rows, [m or 0.0 for m in means]), columns)
 
 
-def value_ranks(rows: DataFrame, columns: list[str]) -> DataFrame:
+def value_ranks(rows: DataFrame) -> DataFrame:
     """(feature, value, n, rank): number of rows and average rank of each distinct value.
 
-    ``feature`` is the position in ``columns``. The distinct values are range-partitioned and
+    ``feature`` is the position in the array ``x``. The distinct values are range-partitioned and
     written, so that their partition is a fixed range of values: rows before a value are those of
     the ranges before plus those before it inside its own range.
     """
     counts = (
-        rows.select(F.posexplode(F.array(*columns)).alias("feature", "value"))
+        rows.select(F.posexplode("x").alias("feature", "value"))
         .groupBy("feature", "value")
         .agg(F.count(F.lit(1)).alias("n"))
     )
@@ -134,27 +138,26 @@ def value_ranks(rows: DataFrame, columns: list[str]) -> DataFrame:
     )
 
 
-def _join_rank(rows: DataFrame, columns: list[str], name: str, ranks: DataFrame, total: int):
+def _join_rank(rows: DataFrame, position: int, ranks: DataFrame, total: int) -> DataFrame:
     """Replace the values of one column by their ranks, for a column with many distinct values.
 
     A value with many rows is joined under several salts. Fewer than ``HOT_SHARE`` values can have
     that many rows, which bounds the broadcast table of salts.
     """
     block = max(1_000, -(-total // HOT_SHARE))
-    ranks = ranks.select(
-        F.col("value").alias(name), "rank", F.ceil(F.col("n") / block).cast("int").alias("_salts")
-    )
-    hot = ranks.filter("_salts > 1").select(name, "_salts")
+    ranks = ranks.select("value", "rank", F.ceil(F.col("n") / block).cast("int").alias("salts"))
+    hot = ranks.filter("salts > 1").select("value", "salts")
     salted = ranks.select(
-        name, "rank", F.explode(F.sequence(F.lit(0), F.col("_salts") - 1)).alias("_salt")
+        "value", "rank", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt")
     )
-    salt = F.pmod(F.xxhash64(*columns), F.coalesce("_salts", F.lit(1))).cast("int")
-    others = [c for c in columns if c != name]
+    salt = F.pmod(F.xxhash64("x"), F.coalesce("salts", F.lit(1))).cast("int")
+    ranked = F.transform("x", lambda v, i: F.when(i == position, F.col("rank")).otherwise(v))
     return (
-        rows.join(F.broadcast(hot), name, "left")
-        .withColumn("_salt", salt)
-        .join(salted, [name, "_salt"])
-        .select(*others, F.col("rank").alias(name), _WEIGHT)
+        rows.withColumn("value", F.get("x", F.lit(position)))
+        .join(F.broadcast(hot), "value", "left")
+        .withColumn("salt", salt)
+        .join(salted, ["value", "salt"])
+        .select(ranked.alias("x"), "weight")
     )
 
 
@@ -170,38 +173,31 @@ def spearman_matrix(
     others by a salted join, after equal rows have been merged to one row with a weight.
     """
     rows = _complete(df, columns)
-    ranks = cut_lineage(value_ranks(rows, columns))
-    sizes = {
-        r["feature"]: (r["values"], r["rows"])
-        for r in ranks.groupBy("feature")
-        .agg(F.count(F.lit(1)).alias("values"), F.sum("n").alias("rows"))
-        .collect()
-    }
-    total = next((rows_ for _, rows_ in sizes.values()), 0)
-    small, held = [], 0
-    for position in sorted(sizes, key=lambda p: sizes[p][0]):
-        values = sizes[position][0]
-        if values <= small_column and held + values <= small_total:
-            small.append(position)
-            held += values
-    large = [p for p in sizes if p not in small]
+    ranks = cut_lineage(value_ranks(rows))
+    sizes = ranks.groupBy("feature").agg(
+        F.count(F.lit(1)).alias("values"), F.sum("n").alias("rows")
+    )
+    small, large, held, total = [], [], 0, 0
+    for size in sizes.orderBy("values").collect():  # one row per column
+        total = size["rows"]
+        if size["values"] <= small_column and held + size["values"] <= small_total:
+            small.append(size["feature"])
+            held += size["values"]
+        else:
+            large.append(size["feature"])
 
     if large:
-        rows = rows.groupBy(*columns).agg(F.count(F.lit(1)).cast("double").alias(_WEIGHT))
-        for position in large:
-            own = ranks.filter(F.col("feature") == position)
-            rows = _join_rank(rows, columns, columns[position], own, total)
-    else:
-        rows = rows.withColumn(_WEIGHT, F.lit(1.0))
+        rows = rows.groupBy("x").agg(F.sum("weight").alias("weight"))
+    for position in large:
+        rows = _join_rank(rows, position, ranks.filter(F.col("feature") == position), total)
 
     table = ranks.filter(F.col("feature").isin(small)).toPandas()
     tables = {}
     for position, own in table.groupby("feature"):
         own = own.sort_values("value")
-        tables[columns[position]] = (own["value"].to_numpy(), own["rank"].to_numpy())
+        tables[int(position)] = (own["value"].to_numpy(), own["rank"].to_numpy())
     shared = df.sparkSession.sparkContext.broadcast(tables)
-    middle = [(total + 1) / 2] * len(columns)
-    return _matrix(_cross_sums(rows, columns, middle, shared), columns)
+    return _matrix(_cross_sums(rows, [(total + 1) / 2] * len(columns), shared), columns)
 
 
 def high_correlation(matrix: DataFrame, threshold: float = 0.8) -> DataFrame:

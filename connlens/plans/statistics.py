@@ -22,13 +22,13 @@ def _rows(spark, folder):
 
 
 def _rounded(name: str) -> Column:
-    """Six decimals, or whole numbers where the double has no such digits."""
+    """Nine decimals, or whole numbers where the double has no such digits."""
     value = F.col(name)
-    return F.when(F.abs(value) < 1000, F.round(value, 6)).otherwise(F.round(value)).alias(name)
+    return F.when(F.abs(value) < 1000, F.round(value, 9)).otherwise(F.round(value)).alias(name)
 
 
 def _rounded_sql(value: str, name: str) -> str:
-    return f"CASE WHEN abs({value}) < 1000 THEN round({value}, 6) ELSE round({value}) END AS {name}"
+    return f"CASE WHEN abs({value}) < 1000 THEN round({value}, 9) ELSE round({value}) END AS {name}"
 
 
 def _shown(stats, *keys):
