@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from connlens.sources.storage import cut_lineage
+from connlens.sources.tables import spread_if_few
 
 # Rank tables of columns with fewer distinct values are sent to all tasks (16 bytes per value) ...
 SMALL_COLUMN = 200_000
@@ -26,23 +27,61 @@ SMALL_TOTAL = 5_000_000
 HOT_SHARE = 1_000
 
 _SUMS = "a int, b int, total double"
+_COUNTS = "feature int, value double, n long"
 
 
-def _complete(df: DataFrame, columns: list[str]) -> DataFrame:
-    """The columns of each row as one array ``x``; rows with a null or NaN have no correlation.
+def _vectors(df: DataFrame, columns: list[str]) -> DataFrame:
+    """The columns of each row as one array ``x``, each row with weight 1.
 
-    A single array and a single predicate also keep the optimizer from deriving constraints for
-    every combination of columns.
+    Rows with a null or NaN are left out later, by the tasks: as a filter here, the condition
+    would be derived anew for every combination of columns by the optimizer.
     """
-    values = [F.col(c).cast("double") for c in columns]
-    missing = [v.isNull() | F.isnan(v) for v in values]
-    gap = F.greatest(*missing) if len(missing) > 1 else missing[0]
-    return df.filter(~gap).select(F.array(*values).alias("x"), F.lit(1.0).alias("weight"))
+    values = F.array(*[F.col(c).cast("double") for c in columns])
+    rows = spread_if_few(df.select(*columns))
+    return rows.select(values.alias("x"), F.lit(1.0).alias("weight"))
+
+
+def _matrix(sums: DataFrame, columns: list[str]) -> DataFrame:
+    """(feature_a, feature_b, rho) for all ordered pairs; null where a column is constant.
+
+    The sums are those of ``_cross_sums``: the entries with the constant column give the number of
+    rows and, per column, the distance of the mean from the centre.
+    """
+    size = len(columns)
+    shift = sums.filter((F.col("b") == size) & (F.col("a") < size)).select(
+        F.col("a").alias("i"), F.col("total").alias("shift")
+    )
+    squares = sums.filter((F.col("a") == F.col("b")) & (F.col("a") < size)).select(
+        F.col("a").alias("i"), F.col("total").alias("squares")
+    )
+    rows = sums.filter(F.col("a") == size).select(F.col("total").alias("n"))
+    one = shift.join(squares, "i").withColumn("n", rows.scalar())
+    spread = F.col("squares") - F.col("shift") ** 2 / F.col("n")
+    # What rounding leaves of the spread of a constant column is not a spread.
+    one = one.select("i", "shift", "n", F.when(spread > F.col("squares") * 1e-14, spread).alias("s"))
+    left = one.toDF("a", "shift_a", "n", "s_a")
+    right = one.drop("n").toDF("b", "shift_b", "s_b")
+    product = F.col("total") - F.col("shift_a") * F.col("shift_b") / F.col("n")
+    rho = product / (F.sqrt("s_a") * F.sqrt("s_b"))
+    rho = F.when(F.col("a") == F.col("b"), F.when(F.col("s_a").isNotNull(), 1.0)).when(
+        rho.isNotNull(), F.greatest(F.lit(-1.0), F.least(F.lit(1.0), rho))
+    )
+    half = sums.join(left, "a").join(right, "b").withColumn("rho", rho)
+    both = F.when(F.col("a") == F.col("b"), F.array(F.struct("a", "b"))).otherwise(
+        F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))
+    )
+    names = F.array(*[F.lit(c) for c in columns])
+    return half.select(F.inline(both), "rho").select(
+        F.get(names, F.col("a")).alias("feature_a"),
+        F.get(names, F.col("b")).alias("feature_b"),
+        "rho",
+    )
 
 
 def _cross_sums(rows: DataFrame, centre: list[float], ranks=None) -> DataFrame:
     """Sum over the rows of weight * (x_a - centre_a) * (x_b - centre_b) for every a <= b.
 
+    A constant 1 stands behind the columns, so that the sums also hold counts and plain sums.
     ``ranks`` is a broadcast {position: (sorted values, their ranks)} for the columns still
     holding plain values.
     """
@@ -51,75 +90,65 @@ def _cross_sums(rows: DataFrame, centre: list[float], ranks=None) -> DataFrame:
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = ranks.value if ranks is not None else {}
-        sums = np.zeros((size, size))
+        sums = np.zeros((size + 1, size + 1))
         for batch in batches:
             x = batch.column("x").flatten().to_numpy(zero_copy_only=False)
-            x = x.reshape(batch.num_rows, size).copy()
+            x = x.reshape(batch.num_rows, size)
+            complete = ~np.isnan(x).any(axis=1)  # nulls arrive as NaN
+            x = x[complete]
+            weight = batch.column("weight").to_numpy(zero_copy_only=False)[complete]
             for position, (known, rank) in tables.items():
                 x[:, position] = rank[np.searchsorted(known, x[:, position])]
-            x -= middle
-            weight = batch.column("weight").to_numpy(zero_copy_only=False)
+            x = np.column_stack([x - middle, np.ones(len(x))])
             sums += x.T @ (x * weight[:, None])
-        a, b = np.triu_indices(size)
+        a, b = np.triu_indices(size + 1)
         yield pa.RecordBatch.from_arrays(
             [pa.array(a, pa.int32()), pa.array(b, pa.int32()), pa.array(sums[a, b])],
             names=["a", "b", "total"],
         )
 
     return (
-        rows.select("x", "weight")
-        .mapInArrow(partial, _SUMS)
-        .groupBy("a", "b")
-        .agg(F.sum("total").alias("total"))
-    )
-
-
-def _matrix(sums: DataFrame, columns: list[str]) -> DataFrame:
-    """(feature_a, feature_b, rho) for all ordered pairs; null where a column is constant."""
-    spread = sums.filter("a = b").select(F.col("a").alias("i"), F.col("total").alias("squares"))
-    names = F.array(*[F.lit(c) for c in columns])
-    left, right = spread.toDF("a", "squares_a"), spread.toDF("b", "squares_b")
-    scale = F.sqrt(F.col("squares_a")) * F.sqrt(F.col("squares_b"))
-    rho = F.when(F.col("a") == F.col("b"), F.lit(1.0)).otherwise(
-        F.greatest(F.lit(-1.0), F.least(F.lit(1.0), F.col("total") / scale))
-    )
-    half = (
-        sums.join(left, "a")
-        .join(right, "b")
-        .withColumn("rho", F.when(scale > 0, rho))
-    )
-    both = F.when(F.col("a") == F.col("b"), F.array(F.struct("a", "b"))).otherwise(
-        F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))
-    )
-    return half.select(F.inline(both), "rho").select(
-        F.get(names, F.col("a")).alias("feature_a"),
-        F.get(names, F.col("b")).alias("feature_b"),
-        "rho",
+        rows.mapInArrow(partial, _SUMS).groupBy("a", "b").agg(F.sum("total").alias("total"))
     )
 
 
 def pearson_matrix(df: DataFrame, columns: list[str]) -> DataFrame:
     """Pearson correlation of all pairs of columns."""
-    rows = _complete(df, columns)
-    means = rows.agg(*[F.avg(F.get("x", F.lit(i))) for i in range(len(columns))]).first()
-    return _matrix(_cross_sums(rows, [m or 0.0 for m in means]), columns)
+    numbers = [F.col(c).cast("double") for c in columns]
+    means = df.agg(*[F.avg(F.when(~F.isnan(v), v)) for v in numbers]).first()
+    return _matrix(_cross_sums(_vectors(df, columns), [m or 0.0 for m in means]), columns)
+
 
+def _value_counts(rows: DataFrame, size: int) -> DataFrame:
+    """(feature, value, n) of the complete rows; each Arrow batch is counted before the shuffle."""
 
-def value_ranks(rows: DataFrame) -> DataFrame:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = batch.column("x").flatten().to_numpy(zero_copy_only=False)
+            x = x.reshape(batch.num_rows, size)
+            x = x[~np.isnan(x).any(axis=1)] + 0.0  # -0.0 and 0.0 are one value
+            for position in range(size):
+                values, n = np.unique(x[:, position], return_counts=True)
+                features = np.full(len(values), position, dtype=np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(features), pa.array(values), pa.array(n.astype(np.int64))],
+                    names=["feature", "value", "n"],
+                )
+
+    counted = rows.select("x").mapInArrow(count, _COUNTS)
+    return counted.groupBy("feature", "value").agg(F.sum("n").alias("n"))
+
+
+def value_ranks(rows: DataFrame, size: int) -> DataFrame:
     """(feature, value, n, rank): number of rows and average rank of each distinct value.
 
     ``feature`` is the position in the array ``x``. The distinct values are range-partitioned and
     written, so that their partition is a fixed range of values: rows before a value are those of
     the ranges before plus those before it inside its own range.
     """
-    counts = (
-        rows.select(F.posexplode("x").alias("feature", "value"))
-        .groupBy("feature", "value")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ordered = cut_lineage(
-        counts.repartitionByRange(parts, "feature", "value")
+        _value_counts(rows, size).repartitionByRange(parts, "feature", "value")
     ).withColumn("part", F.spark_partition_id())
     # At most one row per range and column: safe to broadcast and to order in one task.
     ranges = ordered.groupBy("feature", "part").agg(F.sum("n").alias("_size"))
@@ -172,8 +201,8 @@ def spearman_matrix(
     Columns with few distinct values are ranked by lookup inside the task that reads them, the
     others by a salted join, after equal rows have been merged to one row with a weight.
     """
-    rows = _complete(df, columns)
-    ranks = cut_lineage(value_ranks(rows))
+    rows = _vectors(df, columns)
+    ranks = cut_lineage(value_ranks(rows, len(columns)))
     sizes = ranks.groupBy("feature").agg(
         F.count(F.lit(1)).alias("values"), F.sum("n").alias("rows")
     )

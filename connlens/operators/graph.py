@@ -77,11 +77,12 @@ def pagerank(
     """
     links, sources = _weighted_links(graph.edges)
     links = cut_lineage(links)
-    ranks = cut_lineage(
+    vertices = cut_lineage(
         graph.vertices.join(sources, graph.vertices["id"] == sources["src"], "left").select(
-            "id", "out", "blocks", F.lit(1.0).alias("rank")
+            "id", "out", "blocks"
         )
     )
+    ranks = vertices.withColumn("rank", F.lit(1.0))
     for step in range(1, iterations + 1):
         shares = ranks.filter("out IS NOT NULL").select(
             F.col("id").alias("src"),
@@ -94,13 +95,13 @@ def pagerank(
             .agg(F.sum(F.col("weight") * F.col("share")).alias("received"))
         )
         rank = F.lit(reset) + (1.0 - reset) * F.coalesce("received", F.lit(0.0))
-        ranks = ranks.join(received, ranks["id"] == received["dst"], "left").select(
+        ranks = vertices.join(received, vertices["id"] == received["dst"], "left").select(
             "id", "out", "blocks", rank.alias("rank")
         )
         if step % checkpoint_every == 0 or step == iterations:
             ranks = cut_lineage(ranks)
-    total, vertices = ranks.agg(F.sum("rank"), F.count(F.lit(1))).first()
-    scale = vertices / total if total else 1.0
+    total, size = ranks.agg(F.sum("rank"), F.count(F.lit(1))).first()
+    scale = size / total if total else 1.0
     return ranks.select("id", (F.col("rank") * scale).alias("pagerank"))
 
 

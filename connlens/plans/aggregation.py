@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from connlens.operators import aggregates as A
 from connlens.plans.ingest import raw_lines
-from connlens.plans.roles import interactions, over_interactions
+from connlens.plans.roles import interaction_text, interactions, over_interactions
 from connlens.sources import (
     narrow_interactions,
     parse_fields,
@@ -14,7 +14,6 @@ from connlens.sources import (
     pick_fields,
     register_view,
 )
-from connlens.sources.lines import interaction_lines
 
 
 def _rows(spark, folder):
@@ -23,7 +22,7 @@ def _rows(spark, folder):
 
 def sql_topk_groups(spark, folder):
     """Text lines to fields, to typed columns, to a view, to SQL: the whole path in one query."""
-    lines = interaction_lines(interactions(spark, folder))
+    lines = interaction_text(spark, folder)
     register_view(parse_interactions(lines), "interactions")
     return A.sql_topk_groups(spark, "interactions", "service", 5)
 

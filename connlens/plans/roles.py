@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from connlens.fields import FIELD_NAMES, RATE_POSITIONS
-from connlens.sources import read_table
+from connlens.sources import read_table, spread_if_few
 from connlens.sources.lines import interaction_lines
 
 TABLE = "lineitem"
@@ -88,16 +88,20 @@ _KEY = (
 INTERACTION_SELECT = {**{name: _expression(name) for name in FIELD_NAMES}, KEY: _KEY}
 
 
-def interactions(spark: SparkSession, folder: str) -> DataFrame:
-    """The typed record of every lineitem row, plus a text key. Unused columns are not read."""
-    return read_table(spark, folder, TABLE).selectExpr(
+def interactions(spark: SparkSession, folder: str, heavy: bool = False) -> DataFrame:
+    """The typed record of every lineitem row, plus a text key. Unused columns are not read.
+
+    ``heavy`` announces dear work per row, for which a small file is spread over all cores.
+    """
+    rows = read_table(spark, folder, TABLE)
+    return (spread_if_few(rows) if heavy else rows).selectExpr(
         *[f"{expression} AS `{name}`" for name, expression in INTERACTION_SELECT.items()]
     )
 
 
 def interaction_text(spark: SparkSession, folder: str) -> DataFrame:
     """The same records as text lines of 42 fields."""
-    return interaction_lines(interactions(spark, folder))
+    return interaction_lines(interactions(spark, folder, heavy=True))
 
 
 def over_interactions(sql: str) -> str:

@@ -21,6 +21,10 @@ def _rows(spark, folder):
     return interactions(spark, folder)
 
 
+def _wide_rows(spark, folder):
+    return interactions(spark, folder, heavy=True)
+
+
 def _rounded(name: str) -> Column:
     """Nine decimals, or whole numbers where the double has no such digits."""
     value = F.col(name)
@@ -49,15 +53,15 @@ def _describe_columns(spark, folder):
 
 
 def _column_stats(spark, folder):
-    return _shown(M.column_stats(_rows(spark, folder), NUMERIC))
+    return _shown(M.column_stats(_wide_rows(spark, folder), NUMERIC))
 
 
 def _column_stats_for_tag(spark, folder):
-    return _shown(M.column_stats_for_tag(_rows(spark, folder), NUMERIC, "normal."))
+    return _shown(M.column_stats_for_tag(_wide_rows(spark, folder), NUMERIC, "normal."))
 
 
 def _column_stats_by_tag(spark, folder):
-    return _shown(M.column_stats_by_tag(_rows(spark, folder), NUMERIC), "attack")
+    return _shown(M.column_stats_by_tag(_wide_rows(spark, folder), NUMERIC), "attack")
 
 
 def _variable_stats(spark, folder):

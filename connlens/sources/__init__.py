@@ -22,6 +22,7 @@ from connlens.sources.tables import (
     register_view,
     schema_report,
     spread,
+    spread_if_few,
 )
 
 __all__ = [
@@ -43,5 +44,6 @@ __all__ = [
     "shared_folder",
     "split_rejects",
     "spread",
+    "spread_if_few",
     "write_result",
 ]

@@ -44,6 +44,16 @@ def spread(df: DataFrame, partitions: int | None = None, *keys: str | Column) ->
     return df.repartition(n, *keys)
 
 
+def spread_if_few(df: DataFrame) -> DataFrame:
+    """Spread a table that arrives in fewer partitions than there are cores.
+
+    That is the case for gzip text and for small files; a large table passes unchanged. Put it
+    before work that is much dearer than one shuffle of the columns used.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def preview(df: DataFrame, n: int, *order: str | Column) -> DataFrame:
     """The first n rows in a stated order (without one, "first" would mean nothing)."""
     if not order:
