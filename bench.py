@@ -42,9 +42,6 @@ HEADLINE = [
     "classification_metrics",
     "logistic_chi",
     "decision_tree",
-    "random_forest",
-    "gradient_boosting",
-    "linear_svm",
     "stream_lines",
     "stream_sql",
 ]

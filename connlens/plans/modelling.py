@@ -23,7 +23,8 @@ RATIOS = ["punctuation_ratio", "distinct_word_ratio"]
 
 
 def _labelled(spark, folder):
-    return interactions(spark, folder).withColumn("label", binary_label("attack"))
+    rows = interactions(spark, folder, heavy=True)
+    return rows.withColumn("label", binary_label("attack"))
 
 
 def _numbers(categories: list[str], group: str) -> list[str]:
