@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from connlens.fields import FEATURE_GROUPS, FIELD_NAMES
+from connlens.functions import std_from_variance
 from connlens.operators import projections as P
 from connlens.operators import setops as S
 from connlens.operators.aggregates import count_rows, count_where, group_count, sort_desc, top_k
@@ -89,8 +91,6 @@ def _binary_label(spark, folder):
 
 
 def _drop_fields(spark, folder):
-    from connlens.fields import FEATURE_GROUPS, FIELD_NAMES
-
     rows = interactions(spark, folder).select(*FEATURE_GROUPS["all_indexed"])
     gone = [c for c in FIELD_NAMES if c not in FEATURE_GROUPS["uncorrelated"]]
     return P.drop_fields(rows, gone)
@@ -130,8 +130,6 @@ def _round_measure(spark, folder):
 
 
 def _sqrt_abs(spark, folder):
-    from connlens.functions import std_from_variance
-
     rows = interactions(spark, folder).groupBy("attack").agg(
         F.var_samp("duration").alias("variance"),
         F.corr("duration", "serror_rate").alias("rho"),
@@ -152,8 +150,7 @@ def _cross_count(spark, folder):
 
 
 def _cross_observed(spark, folder):
-    rows = interactions(spark, folder).filter("duration < 3")
-    return S.cross_observed(rows, "attack", "service")
+    return S.cross_observed(interactions(spark, folder), "attack", "duration")
 
 
 def _bags(spark, folder):
@@ -305,12 +302,11 @@ ORACLES = {
         "SELECT count(DISTINCT protocol_type) * count(DISTINCT service) AS pairs FROM interactions"
     ),
     "cross_observed": over_interactions(
-        "WITH kept AS (SELECT attack, service FROM interactions WHERE duration < 3), "
-        "pairs AS (SELECT attack, service FROM (SELECT DISTINCT attack FROM kept) "
-        "CROSS JOIN (SELECT DISTINCT service FROM kept)) "
-        "SELECT p.attack, p.service, count(k.attack) AS n, count(k.attack) > 0 AS observed "
-        "FROM pairs p LEFT JOIN kept k ON p.attack = k.attack AND p.service = k.service "
-        "GROUP BY p.attack, p.service"
+        "WITH pairs AS (SELECT attack, duration FROM (SELECT DISTINCT attack FROM interactions) "
+        "CROSS JOIN (SELECT DISTINCT duration FROM interactions)) "
+        "SELECT p.attack, p.duration, count(k.attack) AS n, count(k.attack) > 0 AS observed "
+        "FROM pairs p LEFT JOIN interactions k ON p.attack = k.attack "
+        "AND p.duration = k.duration GROUP BY p.attack, p.duration"
     ),
     "except_distinct": over_interactions(
         "SELECT service, flag, attack FROM interactions "

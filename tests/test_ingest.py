@@ -12,7 +12,9 @@ from connlens.sources import (
     read_lines,
     render_lines,
     schema_report,
+    shared_folder,
     split_rejects,
+    spread_if_few,
 )
 
 GOOD = ",".join(
@@ -125,3 +127,16 @@ def test_range_and_schema(spark):
     assert [tuple(r) for r in schema_report(table).collect()] == [
         (0, "a", "int", 2), (1, "b", "string", 1),
     ]
+
+
+def test_shared_folder_is_the_configured_one(spark):
+    folder = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    assert shared_folder(spark) == folder
+    assert folder in spark.sparkContext.getCheckpointDir()
+
+
+def test_only_small_inputs_are_spread(spark):
+    cores = spark.sparkContext.defaultParallelism
+    assert spread_if_few(spark.range(0, 100, 1, 1)).rdd.getNumPartitions() == cores
+    many = spark.range(0, 100, 1, 3 * cores)
+    assert spread_if_few(many) is many
