@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from connlens.llm import bpe
+from connlens.llm import bpe, mixing, quality, simhash, substrings, urls
 from connlens.sources.storage import read_table
 
 
@@ -13,5 +13,32 @@ def op1_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.round_trip(read_table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
 
 
-QUERIES = {"op1_bpe_round_trip": op1_bpe_round_trip}
-ORACLES: dict[str, str] = {}
+def op3_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    return urls.judged(read_table(spark, folder, "pages"))
+
+
+def op4_source_mix(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.takes(read_table(spark, folder, "documents"))
+
+
+def op8_simhash_components(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_components(read_table(spark, folder, "documents"))
+
+
+def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.judged(read_table(spark, folder, "documents"), read_table(spark, folder, "labels"))
+
+
+def op10_repeated_passages(spark: SparkSession, folder: str) -> DataFrame:
+    return substrings.without_repeats(read_table(spark, folder, "documents"))
+
+
+QUERIES = {
+    "op1_bpe_round_trip": op1_bpe_round_trip,
+    "op3_url_filter": op3_url_filter,
+    "op4_source_mix": op4_source_mix,
+    "op8_simhash_components": op8_simhash_components,
+    "op9_quality_rules": op9_quality_rules,
+    "op10_repeated_passages": op10_repeated_passages,
+}
+ORACLES: dict[str, str] = {"op4_source_mix": mixing.ORACLE, "op10_repeated_passages": substrings.ORACLE}
