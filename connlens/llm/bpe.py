@@ -295,10 +295,10 @@ def decode(tokens: DataFrame, path: str, ids: str = "token_ids", keep: tuple[str
     return chosen.mapInArrow(run, ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), "decoded binary"]))
 
 
-def round_trip(docs: DataFrame, path: str, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+def round_trip(docs: DataFrame, path: str, text: str = "text", keep: tuple[str, ...] = ("doc_id",), with_ids: bool = False) -> DataFrame:
     """Encodes and decodes in one pass: the columns `keep`, n_tokens, and the SHA-256 of ids and of decoded bytes in hex.
 
-    ids_sha256 is over the ids as little-endian unsigned 32-bit integers.
+    ids_sha256 is over the ids as little-endian unsigned 32-bit integers. `with_ids` adds token_ids.
     """
     shared = _share(docs.sparkSession, path)
 
@@ -315,9 +315,12 @@ def round_trip(docs: DataFrame, path: str, text: str = "text", keep: tuple[str,
                     ends = np.cumsum(lengths)
                     out += [hashlib.sha256(buffer[e - n : e]).hexdigest() for e, n in zip(ends.tolist(), lengths.tolist(), strict=True)]
                 arrays = [pa.array(counts, pa.int64()), *(pa.array(d, pa.string()) for d in digests)]
-                yield _with_column(batch.slice(a, b - a), arrays, ["n_tokens", "ids_sha256", "decoded_sha256"])
+                names = ["n_tokens", "ids_sha256", "decoded_sha256"]
+                if with_ids:
+                    arrays, names = [*arrays, _lists(ids, counts.tolist())], [*names, "token_ids"]
+                yield _with_column(batch.slice(a, b - a), arrays, names)
 
     chosen = docs.select(*keep, F.col(text).alias("__text"))
     kept = docs.select(*keep).schema.fields
-    names = [*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), "n_tokens long", "ids_sha256 string", "decoded_sha256 string"]
-    return chosen.mapInArrow(run, ", ".join(names))
+    columns = [*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), "n_tokens long", "ids_sha256 string", "decoded_sha256 string"]
+    return chosen.mapInArrow(run, ", ".join([*columns, *(["token_ids array<int>"] if with_ids else [])]))

@@ -19,9 +19,10 @@ table, an empty table of labels keeps all that the base rules keep.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from connlens.llm.common import BLANKS, WORD, broadcast_if_small, with_suffix, written
@@ -88,7 +89,7 @@ def binomial_tail(k: Column, n: Column, risk: float) -> Column:
     The terms from k downwards fall faster than a geometric row; those beyond 40 standard deviations add nothing to a double.
     """
     log_term = (
-        _ln_factorial(n) - _ln_factorial(k) - _ln_factorial(n - k) + k * float(_log(risk)) + (n - k) * float(_log(1 - risk))
+        _ln_factorial(n) - _ln_factorial(k) - _ln_factorial(n - k) + k * float(math.log(risk)) + (n - k) * float(math.log(1 - risk))
     )
     steps = F.least(k, F.ceil(40 * F.sqrt(n * risk)) + 100)
     # In the row, term i - 1 is term i times i * (1 - risk) / ((n - i + 1) * risk).
@@ -104,12 +105,6 @@ def binomial_tail(k: Column, n: Column, risk: float) -> Column:
     return F.when(k < n * risk, F.exp(log_term) * total).otherwise(F.lit(1.0))
 
 
-def _log(x: float) -> float:
-    import math
-
-    return math.log(x)
-
-
 def _beyond(rule: str, counts: str = "") -> list[Column]:
     """For each cutoff of the rule, whether a document lies beyond it."""
     name, sign, cutoffs = RULES[rule]
@@ -127,14 +122,20 @@ def cutoffs(counted: DataFrame, labels: DataFrame, stratum: str, doc_id: str = "
     table = held.groupBy(F.col(stratum).alias("stratum_key")).agg(F.count(F.lit(1)).alias("n"), *sums)
     table = written(table, "quality-holdout")
     level = promise.error / max(1, table.count() * len(RULES))
-    certified = []
-    for rule, (_, _, row) in RULES.items():
-        tests = [binomial_tail(F.col(f"{rule}_{j}"), F.col("n"), promise.risk) <= level for j in range(len(row))]
-        passed = F.array(*tests)
-        # The number of cutoffs before the first that fails.
-        first_failure = F.array_position(passed, F.lit(False))
-        certified.append(F.when(first_failure > 0, first_failure - 1).otherwise(len(row)).cast("int").alias(rule))
-    return written(table.select("stratum_key", "n", *certified), "quality-cutoffs")
+    # One row per stratum, rule and cutoff, so that the test is one expression.
+    cells = [
+        F.struct(F.lit(rule).alias("rule"), F.lit(j).alias("j"), F.col(f"{rule}_{j}").alias("k"))
+        for rule, (_, _, row) in RULES.items()
+        for j in range(len(row))
+    ]
+    tests = table.select("stratum_key", "n", F.explode(F.array(*cells)).alias("cell")).select("stratum_key", "n", "cell.*")
+    tests = tests.withColumn("failed", binomial_tail(F.col("k"), F.col("n"), promise.risk) > level)
+    # The number of cutoffs before the first that fails.
+    certified = [
+        F.coalesce(F.min(F.when(F.col("failed") & (F.col("rule") == rule), F.col("j"))), F.lit(len(row))).cast("int").alias(rule)
+        for rule, (_, _, row) in RULES.items()
+    ]
+    return written(tests.groupBy("stratum_key", "n").agg(*certified), "quality-cutoffs")
 
 
 def _verdict(counted: DataFrame, table: DataFrame, stratum: str) -> DataFrame:
