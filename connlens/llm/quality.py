@@ -42,7 +42,7 @@ COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 class Risk:
     """risk: share of good documents that one rule may reject in a stratum; error: chance that some promise fails."""
 
-    risk: float = 0.004
+    risk: float = 0.002
     error: float = 0.05
 
 
