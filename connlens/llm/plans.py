@@ -64,6 +64,8 @@ QUERIES = {
 }
 ORACLES: dict[str, str] = {
     "op2_licence_scan": licences.ORACLE,
+    "op3_url_filter": urls.ORACLE,
     "op4_source_mix": mixing.ORACLE,
+    "op9_quality_rules": quality.ORACLE,
     "op10_repeated_passages": substrings.ORACLE,
 }

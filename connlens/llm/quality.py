@@ -166,3 +166,63 @@ def accepted(docs: DataFrame, labels: DataFrame, text: str = "text", stratum: st
     table = cutoffs(counted, labels, names[stratum], names[doc_id], promise)
     kept = _verdict(counted, table, names[stratum]).filter("kept")
     return kept.select(*(F.col(n).alias(c) for c, n in names.items()))
+
+
+def _sql_beyond(rule: str) -> str:
+    """For each cutoff of the rule, whether a document lies beyond it, as a list."""
+    name, sign, cuts = RULES[rule]
+    return "[" + ", ".join(f"1000 * {name} {'>' if sign > 0 else '<'} {c} * n_words" for c in cuts) + "]"
+
+
+def oracle(promise: Risk | None = None) -> str:
+    """The same result in SQL, over documents and labels."""
+    p = promise or Risk()
+    cells = ", ".join(
+        f"{{'rule': '{rule}', 'j': {j}, 'k': count(*) FILTER (WHERE ({_sql_beyond(rule)})[{j + 1}])}}"
+        for rule, (_, _, cuts) in RULES.items()
+        for j in range(len(cuts))
+    )
+    certified = ", ".join(
+        f"coalesce(min(j) FILTER (WHERE failed AND rule = '{rule}'), {len(cuts)}) AS {rule}" for rule, (_, _, cuts) in RULES.items()
+    )
+    rejected = " OR ".join(f"coalesce(({_sql_beyond(rule)})[cut.{rule}], false)" for rule in RULES)
+    log_term = f"lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({p.risk}::DOUBLE) + (n - i) * ln({1 - p.risk!r}::DOUBLE)"
+    return rf"""
+WITH docs AS (
+    SELECT doc_id, lang, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '{WORD}') AS words FROM documents
+), places AS (
+    SELECT doc_id, unnest(words) AS w, generate_subscripts(words, 1) AS p FROM docs
+), windows AS (
+    SELECT doc_id, p, w || ' ' || lead(w) OVER own || ' ' || lead(w, 2) OVER own AS key
+    FROM places WINDOW own AS (PARTITION BY doc_id ORDER BY p)
+), starts AS (
+    SELECT doc_id, p FROM windows WHERE key IS NOT NULL QUALIFY count(*) OVER (PARTITION BY doc_id, key) > 1
+), covered AS (
+    SELECT doc_id, count(DISTINCT p + k) AS n FROM starts, (SELECT unnest([0, 1, 2]) AS k) GROUP BY doc_id
+), lined AS (
+    SELECT *, list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '{WORD}')) AS lines FROM docs
+), counts AS (
+    SELECT doc_id, lang, len(words)::BIGINT AS n_words, length(array_to_string(words, ''))::BIGINT AS word_chars,
+           len(regexp_extract_all(text, '[#*$%&|<>]'))::BIGINT AS n_symbols,
+           (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(covered.n, 0)::BIGINT AS n_repeat_words
+    FROM lined LEFT JOIN covered USING (doc_id)
+), judged AS (
+    SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM counts
+), good AS (
+    SELECT doc_id FROM labels WHERE quality IS NOT NULL GROUP BY doc_id HAVING min(quality) = 1
+), held AS (
+    SELECT lang, count(*) AS n, [{cells}] AS cells FROM judged SEMI JOIN good USING (doc_id) WHERE NOT base_failed GROUP BY lang
+), tests AS (
+    SELECT lang, cell.rule AS rule, cell.j AS j,
+           NOT (cell.k < n * {p.risk}::DOUBLE AND list_sum(list_transform(range(0, cell.k + 1), lambda i: exp({log_term})))
+                <= {p.error}::DOUBLE / ((SELECT count(*) FROM held) * {len(RULES)})) AS failed
+    FROM (SELECT lang, n, unnest(cells) AS cell FROM held)
+), cut AS (
+    SELECT lang, {certified} FROM tests GROUP BY lang
+)
+SELECT doc_id, {", ".join(COUNTS)}, base_failed, NOT base_failed AND NOT ({rejected}) AS kept
+FROM judged LEFT JOIN cut ON judged.lang IS NOT DISTINCT FROM cut.lang
+"""
+
+
+ORACLE = oracle()

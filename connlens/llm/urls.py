@@ -1,13 +1,13 @@
 """URL filters: fixed rules, then a ratio of two character models.
 
 Rules name a host and a path; the longest that fits decides. URLs that a rule decides are also the labelled examples of accepted and
-rejected URLs. From four fifths of them (by digest of host and path) two variable-order Markov models are counted, one for
+rejected URLs. From 13 in 16 of them (by digest of host and path) two variable-order Markov models are counted, one for
 each class: P(character | context) at order k is Witten-Bell smoothed with order k - 1, down to equal chances. Contexts have up to
 `order` characters and count only if they hold a share of 1 / `contexts` of all training characters, so that each order keeps at
 most `contexts` of them: the table of log ratios has at most (order + 1) * contexts * alphabet rows, whatever the input, and is
 broadcast under that bound. All training URLs are counted; nothing is sampled.
 
-A URL's score is the mean over its characters of the log ratio under the longest kept context. Scores of the other fifth calibrate
+A URL's score is the mean over its characters of the log ratio under the longest kept context. Scores of the others calibrate
 the limit: the lowest score above which at most `loss` of its accepted URLs lie. URLs without a rule are blocked above it.
 Ratios are rounded to millionths, so that sums don't depend on their order.
 
@@ -35,7 +35,7 @@ START, END = "^", "$"
 class Model:
     order: int = 4
     contexts: int = 1024
-    folds: int = 5
+    held_out: int = 3  # sixteenths of the labelled URLs, for the limit
     loss: float = 0.01
 
 
@@ -148,15 +148,86 @@ def judged(pages: DataFrame, rules: tuple[tuple[str, str, str], ...] = RULES, mo
     parts = with_parts(pages.select(F.col(page_id).alias("page_id"), F.col(url).alias("url")))
     parts = parts.select("page_id", "host", "path", _by_rule(rules, "rule").alias("rule"), _by_rule(rules, "verdict").alias("decided"))
     parts = written(parts.withColumn("symbols", _symbols()).withColumn("rejected", F.col("decided") == "block"), "url-parts")
-    fold = F.pmod(F.xxhash64("symbols"), F.lit(model.folds))
+    held_out = F.substring(F.md5("symbols"), 1, 1) < f"{model.held_out:x}"
     labelled = parts.filter("rejected IS NOT NULL")
-    training = labelled.filter(fold > 0)
+    training = labelled.filter(~held_out)
     classes = training.groupBy("rejected").count().count()
     if classes < 2:
         score, limit = parts.withColumn("score", F.lit(0.0)), None
     else:
         keep = ("page_id", "host", "path", "rule", "decided", "rejected", "symbols")
         score = written(scored(parts, fitted(training, model), *keep), "url-scores")
-        limit = _limit(score.filter("rejected IS NOT NULL").filter(fold == 0), model.loss)
+        limit = _limit(score.filter("rejected IS NOT NULL").filter(held_out), model.loss)
     learned = F.lit("allow") if limit is None else F.when(F.col("score") > limit, "block").otherwise("allow")
     return score.select("page_id", "host", "path", "rule", F.coalesce("decided", learned).alias("verdict"), (F.col("score") / 1e6).alias("score"))
+
+
+def _sql_rule(value: str) -> str:
+    cases = []
+    for verdict, host, path in sorted(RULES, key=lambda r: -len(r[1] + r[2])):
+        fits = f"(host = '{host}' OR host LIKE '%.{host}') AND starts_with(path, '{path}')"
+        cases.append(f"WHEN {fits} THEN '{verdict if value == 'verdict' else host + path}'")
+    return f"CASE {' '.join(cases)} END"
+
+
+def _sql_order(k: int, model: Model) -> str:
+    """Common tables of one order: counts of kept contexts, and chances of all characters in them."""
+    low = f"1.0::DOUBLE / {len(ALPHABET)}" if k == 0 else "low.p{0}"
+    chance = "CASE WHEN h.all{0} > 0 THEN (coalesce(g.n{0}, 0) + h.kinds{0} * " + low + ") / (h.all{0} + h.kinds{0}) ELSE " + low + " END AS p{0}"
+    below = "" if k == 0 else f"JOIN model{k - 1} low ON low.context = right(h.context, {k - 1}) AND low.char = h.char"
+    return f"""grams{k} AS (
+    SELECT right(context, {k}) AS context, char, sum(n0)::BIGINT AS n0, sum(n1)::BIGINT AS n1 FROM counts GROUP BY ALL
+), held{k} AS (
+    SELECT context, sum(n0)::BIGINT AS all0, sum(n1)::BIGINT AS all1, count(*) FILTER (WHERE n0 > 0) AS kinds0, count(*) FILTER (WHERE n1 > 0) AS kinds1
+    FROM grams{k} GROUP BY context HAVING (all0 + all1) * {model.contexts} >= (SELECT sum(n0 + n1) FROM counts)
+), model{k} AS MATERIALIZED (
+    SELECT h.context, h.char, {chance.format(0)}, {chance.format(1)}
+    FROM (SELECT *, unnest(string_split('{ALPHABET}', '')) AS char FROM held{k}) h
+    LEFT JOIN grams{k} g ON g.context = h.context AND g.char = h.char {below}
+)"""
+
+
+def oracle(model: Model | None = None) -> str:
+    """The same result in SQL, over pages."""
+    m = model or Model()
+    orders = range(m.order + 1)
+    digits, lower = "0" * 9, LOWER
+    found = "coalesce(" + ", ".join(f"round(1e6 * (ln(m{k}.p1) - ln(m{k}.p0)))::BIGINT" for k in reversed(orders)) + ", 0)"
+    joins = " ".join(f"LEFT JOIN model{k} m{k} ON m{k}.context = right(c.context, {k}) AND m{k}.char = c.char" for k in orders)
+    return rf"""
+WITH rest AS (
+    SELECT page_id, url, CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages
+), split AS (
+    SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), '{UPPER}', '{lower}') AS host,
+           regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+    FROM rest
+), parts AS MATERIALIZED (
+    SELECT page_id, host, path, {_sql_rule("rule")} AS rule, {_sql_rule("verdict")} AS decided, row_number() OVER () AS row,
+           regexp_replace(translate(host || path, '{UPPER}123456789', '{lower}{digits}'), '[^a-z0./_:-]', '~', 'g') || '{END}' AS symbols
+    FROM split
+), chars AS MATERIALIZED (
+    SELECT row, substr('{START * m.order}' || symbols, place + {m.order}, 1) AS char, substr('{START * m.order}' || symbols, place, {m.order}) AS context
+    FROM (SELECT row, symbols, unnest(range(1, length(symbols) + 1)) AS place FROM parts)
+), counts AS MATERIALIZED (
+    SELECT context, char, count(*) FILTER (WHERE decided = 'block') AS n1, count(*) FILTER (WHERE decided = 'allow') AS n0
+    FROM chars JOIN parts USING (row) WHERE decided IS NOT NULL AND substr(md5(symbols), 1, 1) >= '{m.held_out:x}' GROUP BY ALL
+), {", ".join(_sql_order(k, m) for k in orders)}, scores AS MATERIALIZED (
+    SELECT c.row, sum({found})::BIGINT / count(*) AS score FROM chars c {joins} GROUP BY c.row
+), bins AS (
+    SELECT ceil(least(greatest(score, -20e6), 20e6) / 1000) AS bin, count(*) AS n FROM scores JOIN parts USING (row)
+    WHERE decided = 'allow' AND substr(md5(symbols), 1, 1) < '{m.held_out:x}' GROUP BY 1
+), above AS (
+    SELECT bin, sum(n) OVER (ORDER BY bin DESC) AS above, sum(n) OVER () AS total FROM bins
+), edge AS (
+    SELECT max(bin) FILTER (WHERE above > {m.loss}::DOUBLE * total) * 1000 AS score FROM above
+), classes AS (
+    SELECT count(*) FILTER (WHERE n0 > 0) > 0 AND count(*) FILTER (WHERE n1 > 0) > 0 AS enough FROM counts
+)
+SELECT page_id, host, path, rule,
+       coalesce(decided, CASE WHEN enough AND edge.score IS NOT NULL AND s.score > edge.score THEN 'block' ELSE 'allow' END) AS verdict,
+       CASE WHEN enough THEN s.score / 1e6 ELSE 0.0::DOUBLE END AS score
+FROM parts JOIN scores s USING (row), edge, classes
+"""
+
+
+ORACLE = oracle()

@@ -1,5 +1,6 @@
 """Licence scan, URL filter, mix and quality rules against plain versions."""
 
+import hashlib
 import math
 import re
 from collections import Counter, defaultdict
@@ -107,10 +108,10 @@ def test_urls_against_plain_model(spark, data):
     found = urls.judged(table).collect()
     assert len(found) == len(rows)
     split_rows = [(i, *parts(u)) for i, u in rows]
-    ids = {r.s: r.f for r in spark.createDataFrame([(symbols(h, p),) for _, h, p in split_rows], "s string").selectExpr("s", "pmod(xxhash64(s), 5) f").collect()}
+    held_out = lambda s: hashlib.md5(s.encode()).hexdigest()[0] < "3"
     labelled = [(symbols(h, p), rule(h, p)[1] == "block") for _, h, p in split_rows if rule(h, p)[1]]
-    model = PlainModel([x for x in labelled if ids[x[0]] > 0], how)
-    clean = sorted((math.ceil(model.score(s) / 1000) for s, bad in labelled if ids[s] == 0 and not bad), reverse=True)
+    model = PlainModel([x for x in labelled if not held_out(x[0])], how)
+    clean = sorted((math.ceil(model.score(s) / 1000) for s, bad in labelled if held_out(s) and not bad), reverse=True)
     limit = next((b * 1000.0 for i, b in enumerate(clean) if sum(x >= b for x in clean) > how.loss * len(clean)), None)
     wanted = []
     for i, h, p in split_rows:
