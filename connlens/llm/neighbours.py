@@ -6,7 +6,7 @@ while that lets more neighbours be together. A small network learns which partit
 graph by blocks and the network are on the driver; their size doesn't depend on the table.
 
 Index. The network sends every row to its most probable partition, and each query to as many of the most probable as have
-`mass` of the probability together; `mass` is the least of a few values with which neighbours within the sample reach `wanted` recall.
+`mass` of the probability together and more than `k` rows; `mass` is the least of a few values with which neighbours within the sample reach `wanted` recall.
 Partitions are divided into blocks of about `block` rows by digest of vec_id, and so are the queries of a partition, so that
 a partition that holds a third of all rows is many tasks. A task reranks one block of queries against one block of rows in
 double precision and returns the nearest `k` of each query; these are ranked by query.
@@ -60,12 +60,15 @@ class Router:
         e = np.exp(z - z.max(axis=1, keepdims=True))
         return e / e.sum(axis=1, keepdims=True)
 
-    def chosen(self, p: np.ndarray, mass: float | None = None) -> np.ndarray:
-        """For each row the partitions that have `mass` together, as a table of booleans."""
+    def chosen(self, p: np.ndarray, mass: float, sizes: np.ndarray | None = None, k: int = 0) -> np.ndarray:
+        """For each row the partitions that have `mass` together and hold more than `k` rows, as a table of booleans."""
         order = np.argsort(-p, axis=1, kind="stable")
-        upto = np.cumsum(np.take_along_axis(p, order, 1), axis=1) - np.take_along_axis(p, order, 1)
+        before = np.cumsum(np.take_along_axis(p, order, 1), axis=1) - np.take_along_axis(p, order, 1)
+        wanted = before < mass
+        if sizes is not None:
+            wanted |= np.cumsum(sizes[order], axis=1) - sizes[order] <= k
         out = np.zeros(p.shape, bool)
-        np.put_along_axis(out, order, upto < (self.mass if mass is None else mass), 1)
+        np.put_along_axis(out, order, wanted, 1)
         return out
 
 
@@ -107,7 +110,7 @@ def learned(x: np.ndarray, how: Index) -> Router:
     """The router for the sample `x`."""
     rng = np.random.default_rng(5)
     parts, k = 2**how.levels, min(how.graph, len(x) - 1)
-    if len(x) <= 4 * parts:  # too few rows to cut: one partition
+    if len(x) < 32 * parts:  # too few rows to cut: one partition
         d = x.shape[1]
         return Router(np.zeros((d, 1)), np.zeros(1), np.zeros((1, 1)), np.zeros(1))
     graph, sets = _graph(x, k), [np.arange(len(x))]
@@ -148,13 +151,17 @@ def _matrix(column: pa.ListArray, width: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, width)
 
 
-def _route(router: Router, width: int, queries: bool):
+def _route(router: Router, width: int, sizes: np.ndarray | None = None, k: int = 0):
+    """Rows with their partition; with the `sizes` of the partitions, queries with each that they ask."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows == 0:
                 continue
             p = router(_matrix(batch.column(1), width))
-            row, part = np.nonzero(router.chosen(p)) if queries else (np.arange(len(p)), p.argmax(axis=1))
+            row, part = np.arange(len(p)), p.argmax(axis=1)
+            if sizes is not None:
+                row, part = np.nonzero(router.chosen(p, router.mass, sizes, k))
             taken = batch.take(pa.array(row))
             yield pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), *taken.columns], ["part", "vec_id", "vector"])
 
@@ -199,11 +206,14 @@ def _rerank(k: int, width: int):
     return run
 
 
-def _blocks(routed: DataFrame, block: int) -> tuple[Column, dict[int, int]]:
-    """Block of each row within its partition, and the number of blocks of each partition."""
-    counts = {p: max(1, -(-n // block)) for p, n in routed.groupBy("part").count().collect()}
+def _blocks(routed: DataFrame, block: int, parts: int) -> tuple[Column, dict[int, int], np.ndarray]:
+    """Block of each row within its partition, the number of blocks of each partition, and the partitions' sizes."""
+    sizes = np.zeros(parts, np.int64)
+    for p, n in routed.groupBy("part").count().collect():
+        sizes[p] = n
+    counts = {p: -(-n // block) for p, n in enumerate(sizes.tolist()) if n}
     number = F.element_at(F.create_map(*(F.lit(x) for pair in counts.items() for x in pair)), F.col("part")) if counts else F.lit(1)
-    return F.pmod(F.xxhash64("vec_id"), number.cast("long")).cast("int"), counts
+    return F.pmod(F.xxhash64("vec_id"), number.cast("long")).cast("int"), counts, sizes
 
 
 def _spread(counts: dict[int, int]) -> Column:
@@ -227,11 +237,11 @@ def search(vectors: DataFrame, how: Index | None = None, vec_id: str = "vec_id",
     sample = valid.orderBy(F.xxhash64("vec_id"), "vec_id").limit(how.sample).select("vector").collect()
     router = learned(np.array([r[0] for r in sample], np.float64).reshape(-1, width), how)
     schema = "part int, vec_id long, vector array<double>"
-    rows = written(valid.mapInArrow(_route(router, width, queries=False), schema), "ann-rows")
+    rows = written(valid.mapInArrow(_route(router, width), schema), "ann-rows")
+    row_block, row_counts, sizes = _blocks(rows, how.block, len(router.b2))
     asked = valid.filter(F.col("vec_id") % how.every == 0)
-    queries = written(asked.mapInArrow(_route(router, width, queries=True), schema), "ann-queries")
-    row_block, row_counts = _blocks(rows, how.block)
-    query_block, query_counts = _blocks(queries, how.block)
+    queries = written(asked.mapInArrow(_route(router, width, sizes, how.k), schema), "ann-queries")
+    query_block, query_counts, _ = _blocks(queries, how.block, len(router.b2))
     left = rows.withColumn("row_block", row_block).withColumn("query_block", _spread(query_counts))
     right = queries.withColumn("query_block", query_block).withColumn("row_block", _spread(row_counts))
     keys = ("part", "row_block", "query_block")
