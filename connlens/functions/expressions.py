@@ -36,8 +36,12 @@ def std_from_variance(variance: str | Column) -> Column:
 
 
 def key_hash(key: str | Column, seed: int) -> Column:
-    """Hex hash of a row key. It depends on the seed and the key only, never on partitioning."""
-    return F.md5(F.concat(F.lit(f"{seed}:"), _column(key).cast("string")))
+    """Hex hash of a row key. It depends on the seed and the key only, never on partitioning.
+
+    A missing key has a hash of its own, so that its rows belong to some side of every split.
+    """
+    text = F.concat(F.lit(f"{seed}:"), _column(key).cast("string"))
+    return F.md5(F.coalesce(text, F.lit(f"{seed};")))
 
 
 def in_hash_sample(key: str | Column, fraction: float, seed: int) -> Column:

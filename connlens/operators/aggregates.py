@@ -51,18 +51,16 @@ def reduce_sum(
 def mean_from_totals(
     df: DataFrame, measure: str, tag: str = LABEL, normal: str = NORMAL, digits: int = 3
 ) -> DataFrame:
-    """Mean per class as total / count."""
-    mean = F.sum(measure) / F.count(F.lit(1))
+    """Mean per class as total / count of the known measures."""
+    mean = F.sum(measure) / F.count(measure)
     return df.groupBy(class_name(tag, normal).alias("class")).agg(
         F.round(mean, digits).alias("mean")
     )
 
 
 def aggregate_sum_count(df: DataFrame, measure: str, predicate: Column | str = "true") -> DataFrame:
-    """(sum, count) of a measure over the rows that meet a predicate."""
-    return df.filter(predicate).agg(
-        F.sum(measure).alias("total"), F.count(F.lit(1)).alias("n")
-    )
+    """(sum, count) of the known measures over the rows that meet a predicate."""
+    return df.filter(predicate).agg(F.sum(measure).alias("total"), F.count(measure).alias("n"))
 
 
 def fold_sum(df: DataFrame, measure: str, zero: float = 0.0, name: str = "total") -> DataFrame:
@@ -79,7 +77,8 @@ def count_by_tag(df: DataFrame, tag: str = LABEL) -> DataFrame:
 
 
 def sum_count_by_tag(df: DataFrame, measure: str, tag: str = LABEL) -> DataFrame:
-    return df.groupBy(tag).agg(F.sum(measure).alias("total"), F.count(F.lit(1)).alias("n"))
+    """Sum and count of the known measures per label."""
+    return df.groupBy(tag).agg(F.sum(measure).alias("total"), F.count(measure).alias("n"))
 
 
 def mean_by_tag(df: DataFrame, measure: str, tag: str = LABEL, digits: int = 3) -> DataFrame:

@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 
 from connlens.fields import FEATURE_GROUPS, LABEL, NORMAL
 from connlens.functions import binary_label, in_hash_sample
+from connlens.sources.storage import cut_lineage
 
-# A fitted indexer keeps its categories in the driver and in every task.
-MAX_CATEGORIES = 100_000
+# A table of categories with so many rows at most is broadcast; Spark chooses the join beyond.
+BROADCAST_CATEGORIES = 100_000
 
 
 def hash_split(
@@ -41,15 +42,13 @@ def index_name(column: str) -> str:
 
 
 def fit_categories(df: DataFrame, columns: list[str]) -> StringIndexerModel:
-    """Number the categories of each column in alphabetical order.
+    """Number the categories of each column in alphabetical order, as a stage of a model.
 
     A category not seen here gets the number after the last, also as part of the declared range,
-    so that later training on such a row does not fail.
+    so that later training on such a row does not fail. The fitted stage holds the categories, so
+    it suits columns whose categories are few beside the rows; ``encode_categories`` has no such
+    need.
     """
-    sizes = df.agg(*[F.approx_count_distinct(c).alias(c) for c in columns]).first()
-    too_many = [c for c in columns if sizes[c] > MAX_CATEGORIES]
-    if too_many:
-        raise ValueError(f"more than {MAX_CATEGORIES} categories in {', '.join(too_many)}")
     return StringIndexer(
         inputCols=columns,
         outputCols=[index_name(c) for c in columns],
@@ -61,8 +60,46 @@ def fit_categories(df: DataFrame, columns: list[str]) -> StringIndexerModel:
 def encode_categories(
     df: DataFrame, columns: list[str], fit_on: DataFrame | None = None
 ) -> DataFrame:
-    """Add ``<column>_index`` for each column, with the categories of ``fit_on``."""
-    return fit_categories(df if fit_on is None else fit_on, columns).transform(df)
+    """Add ``<column>_index`` for each column, with the categories of ``fit_on``.
+
+    Categories are numbered in alphabetical order, from 0; one that ``fit_on`` lacks, or none, gets
+    the number after the last. The numbers are a table that is joined, so that any number of
+    categories will do.
+    """
+    source = df if fit_on is None else fit_on
+    for column in columns:
+        numbers, size = category_numbers(source, column)
+        numbers = numbers.withColumnRenamed("category", "_category")
+        if size <= BROADCAST_CATEGORIES:
+            numbers = F.broadcast(numbers)
+        matched = df.join(numbers, df[column] == numbers["_category"], "left").drop("_category")
+        index = F.coalesce("number", F.lit(size)).cast("double")
+        df = matched.withColumn(index_name(column), index).drop("number")
+    return df
+
+
+def category_numbers(df: DataFrame, column: str) -> tuple[DataFrame, int]:
+    """(category, number) of a column in alphabetical order, and how many there are.
+
+    The distinct values are range-partitioned and written, so that a number is the size of the
+    ranges before plus the place in the own range.
+    """
+    values = df.select(F.col(column).alias("category")).filter("category IS NOT NULL").distinct()
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ordered = cut_lineage(
+        values.repartitionByRange(parts, "category").sortWithinPartitions("category")
+    ).withColumns(
+        {
+            "_part": F.spark_partition_id(),
+            "_place": F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1),
+        }
+    )
+    before, total = [], 0
+    for part, size in sorted(map(tuple, ordered.groupBy("_part").count().collect())):
+        before += [F.lit(part), F.lit(total)]
+        total += size
+    start = F.element_at(F.create_map(*before), F.col("_part")) if before else F.lit(0)
+    return ordered.select("category", (start + F.col("_place")).alias("number")), total
 
 
 def encode_label_multi(

@@ -43,8 +43,9 @@ def filter_member(df: DataFrame, fields: str, value: str) -> DataFrame:
 
 
 def filter_tag(df: DataFrame, value: str, tag: str = LABEL, keep: bool = True) -> DataFrame:
-    """Rows with the label, or with ``keep=False`` the rows with any other one."""
-    return df.filter(F.col(tag) == value if keep else F.col(tag) != value)
+    """Rows with the label, or with ``keep=False`` all other rows (those without a label, too)."""
+    has_label = F.col(tag).eqNullSafe(F.lit(value))
+    return df.filter(has_label if keep else ~has_label)
 
 
 def filter_conjunction(df: DataFrame, *predicates: Column | str) -> DataFrame:

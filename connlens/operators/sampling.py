@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from connlens.functions import in_hash_sample, key_hash
+from connlens.sources.storage import cut_lineage
 
 _PREFIX = 4  # hex digits per refinement step: at most 65,536 groups in a histogram
-_LEVELS = 4
-_SMALL_TAIL = 65_536  # rows sharing a prefix that one task may sort; refine further above it
-_LARGEST_TAIL = 1_000_000
+_KEY_DIGITS = 32
+_ROW_DIGITS = 32
 
 
 def sample_fraction(df: DataFrame, fraction: float, seed: int) -> DataFrame:
@@ -39,23 +39,42 @@ def sample_ratio(
     )
 
 
+def _of_equal_rows(rows: DataFrame, n: int) -> DataFrame:
+    """n rows of a table whose rows are all alike: so many of each written partition."""
+    placed = cut_lineage(rows).withColumns(
+        {
+            "_part": F.spark_partition_id(),
+            "_place": F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1),
+        }
+    )
+    quota = {}
+    for part, size in sorted(map(tuple, placed.groupBy("_part").count().collect())):
+        quota[part] = min(size, n - sum(quota.values()))
+    pairs = [F.lit(x) for pair in quota.items() for x in pair]
+    return placed.filter(F.col("_place") < F.element_at(F.create_map(*pairs), F.col("_part"))).drop(
+        "_part", "_place"
+    )
+
+
 def sample_exact(df: DataFrame, key: str, n: int, seed: int) -> DataFrame:
     """Exactly n rows (all, if there are fewer), chosen by the order of the hashed key.
 
     Sorting the table or limiting it to a large n would pass the sample through one task. Instead
-    the cut-off hash is found from histograms of hash prefixes, each of at most 65,536 groups, and
-    the rows below it are a plain filter. Only the rows that share the whole cut-off prefix are
-    sorted. ``key`` has to identify rows.
+    the cut-off hash is found digit by digit from histograms of hash prefixes, each of at most
+    65,536 groups, and the rows below it are a plain filter. Rows with equal keys are told apart by
+    a hash of the whole row; of rows that are equal throughout, any will do. Rows without a key
+    have a hash like any other.
     """
     if n <= 0:
         return df.limit(0)
+    whole_row = F.md5(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])))
     hashed = df.withColumn("_hash", key_hash(key, seed))
     prefix, wanted = "", n
-    for level in range(1, _LEVELS + 1):
-        length = level * _PREFIX
-        inside = df.select(key_hash(key, seed).alias("_hash")).filter(
-            F.col("_hash").startswith(prefix)
-        )
+    while True:
+        if len(prefix) == _KEY_DIGITS:
+            hashed = hashed.withColumn("_hash", F.concat("_hash", whole_row))
+        length = len(prefix) + _PREFIX
+        inside = hashed.select("_hash").filter(F.col("_hash").startswith(prefix))
         groups = inside.groupBy(F.substring("_hash", 1, length).alias("_prefix")).agg(
             F.count(F.lit(1)).alias("_n")
         )
@@ -71,12 +90,9 @@ def sample_exact(df: DataFrame, key: str, n: int, seed: int) -> DataFrame:
             return df
         prefix, size = cut[0]["_prefix"], cut[0]["_n"]
         wanted -= cut[0]["_upto"] - size
-        if size == wanted or size <= _SMALL_TAIL:
-            break
-    if size == wanted:
-        return hashed.filter(F.substring("_hash", 1, len(prefix)) <= prefix).drop("_hash")
-    if size > _LARGEST_TAIL:
-        raise ValueError(f"column {key} does not identify rows: {size} rows share one hash")
-    below = hashed.filter(F.substring("_hash", 1, len(prefix)) < prefix)
-    tail = hashed.filter(F.col("_hash").startswith(prefix)).orderBy("_hash", key).limit(wanted)
-    return below.unionByName(tail).drop("_hash")
+        start = F.substring("_hash", 1, len(prefix))
+        if size == wanted:
+            return hashed.filter(start <= prefix).drop("_hash")
+        if len(prefix) == _KEY_DIGITS + _ROW_DIGITS:
+            tail = hashed.filter(start == prefix).drop("_hash")
+            return hashed.filter(start < prefix).drop("_hash").unionByName(_of_equal_rows(tail, wanted))

@@ -45,13 +45,14 @@ def spread(df: DataFrame, partitions: int | None = None, *keys: str | Column) ->
 
 
 def spread_if_few(df: DataFrame) -> DataFrame:
-    """Spread a table that arrives in fewer partitions than there are cores.
+    """Spread a table that is stored in fewer files than there are cores.
 
-    That is the case for gzip text and for small files; a large table passes unchanged. Put it
-    before work that is much dearer than one shuffle of the columns used.
+    That is the case for gzip text and for small tables; a table of many files passes unchanged,
+    and so does one that isn't read from files. Only the list of files is looked at, so nothing runs while the plan is built. Put it before
+    work that is much dearer than one shuffle of the columns used.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores) if 0 < len(df.inputFiles()) < cores else df
 
 
 def preview(df: DataFrame, n: int, *order: str | Column) -> DataFrame:

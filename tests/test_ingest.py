@@ -135,8 +135,10 @@ def test_shared_folder_is_the_configured_one(spark):
     assert folder in spark.sparkContext.getCheckpointDir()
 
 
-def test_only_small_inputs_are_spread(spark):
+def test_only_tables_of_few_files_are_spread(spark, tmp_path):
     cores = spark.sparkContext.defaultParallelism
-    assert spread_if_few(spark.range(0, 100, 1, 1)).rdd.getNumPartitions() == cores
-    many = spark.range(0, 100, 1, 3 * cores)
+    for files in (1, 2 * cores):
+        spark.range(0, 100, 1, files).write.parquet(f"{tmp_path}/{files}")
+    few, many = (spark.read.parquet(f"{tmp_path}/{files}") for files in (1, 2 * cores))
+    assert spread_if_few(few).rdd.getNumPartitions() == cores
     assert spread_if_few(many) is many

@@ -2,8 +2,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from connlens.operators import aggregates as A
+from connlens.operators import projections as P
 from connlens.operators import sampling as S
 from connlens.operators import setops as B
+from connlens.sources import preview
 
 
 def bag(spark, text):
@@ -77,10 +79,9 @@ def test_hash_sample_does_not_depend_on_partitions(spark):
     assert S.sample_fraction_hash(table, "id", 0.0, 3).count() == 0
 
 
-@pytest.mark.parametrize("tail", [65_536, 3])
-def test_exact_sample(spark, monkeypatch, tail):
-    monkeypatch.setattr(S, "_SMALL_TAIL", tail)
-    monkeypatch.setattr(S, "_PREFIX", 2)
+@pytest.mark.parametrize("digits", [2, 4])
+def test_exact_sample(spark, monkeypatch, digits):
+    monkeypatch.setattr(S, "_PREFIX", digits)
     table = spark.range(3000)
     hashed = table.withColumn("h", S.key_hash("id", 5)).orderBy("h")
     for n in (0, 1, 250, 2999, 3000, 4000):
@@ -89,9 +90,35 @@ def test_exact_sample(spark, monkeypatch, tail):
         assert sample.count() == min(n, 3000) and {r.id for r in sample.collect()} == wanted
 
 
-def test_exact_sample_refuses_a_key_that_is_not_one(spark, monkeypatch):
-    monkeypatch.setattr(S, "_SMALL_TAIL", 10)
-    monkeypatch.setattr(S, "_LARGEST_TAIL", 10)
-    same = spark.range(100).withColumn("k", F.lit(1))
-    with pytest.raises(ValueError, match="does not identify"):
-        S.sample_exact(same, "k", 5, 1)
+def test_exact_sample_with_missing_keys(spark):
+    table = spark.range(10).selectExpr("id", "CASE WHEN id % 2 = 0 THEN id END AS k")
+    for n in (1, 5, 7, 9, 10, 11):
+        assert S.sample_exact(table, "k", n, 1).distinct().count() == min(n, 10)
+
+
+def test_exact_sample_of_rows_that_share_keys_or_are_equal(spark):
+    table = spark.range(2000).selectExpr("1 AS k", "id % 3 AS v")
+    for n in (1, 667, 1500, 1999):
+        assert S.sample_exact(table.repartition(6), "k", n, 1).count() == n
+    many = spark.range(1_200_000).selectExpr("1 AS k", "id AS v")
+    assert S.sample_exact(many, "k", 600_001, 1).count() == 600_001
+
+
+def test_null_measures_and_labels(spark):
+    table = spark.createDataFrame([("normal.", 10), ("normal.", None), (None, 4)], "attack string, m int")
+    means = {r["class"]: r["mean"] for r in A.mean_from_totals(table, "m").collect()}
+    assert means == {"normal": 10.0, "attack": 4.0}
+    assert A.aggregate_sum_count(table, "m").first() == (14, 2)
+    assert {r.attack: (r.total, r.n) for r in A.sum_count_by_tag(table, "m").collect()} == {"normal.": (10, 1), None: (4, 1)}
+    kept = P.filter_tag(table, "normal.").count(), P.filter_tag(table, "normal.", keep=False).count()
+    assert kept == (2, 1)
+
+
+def test_order_of_rows(spark):
+    table = spark.createDataFrame([("b", 2.0), ("a", 2.0), ("c", 9.0), ("c", 1.0), ("d", 2.0)], "attack string, m double")
+    assert [r.attack for r in A.sort_desc(table, "m", "attack").collect()] == ["c", "a", "b", "d", "c"]
+    assert [r.attack for r in A.top_k(table, 3, "m", "attack").collect()] == ["c", "a", "b"]
+    assert [(r.attack, r["mean"]) for r in A.mean_by_tag(table, "m").collect()] == [("c", 5.0), ("a", 2.0), ("b", 2.0), ("d", 2.0)]
+    counts = A.group_count(table, "attack").collect()
+    assert [(r.attack, r.n) for r in counts] == [("a", 1), ("b", 1), ("d", 1), ("c", 2)]
+    assert [r.attack for r in preview(table, 2, "attack", "m").collect()] == ["a", "b"]
