@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from connlens.sources.storage import cut_lineage
 
-# A source that holds more than this share of the links is spread over several join keys.
-HOT_SHARE = 1_000
+# Links of one source in one join key. A source with more is spread over several keys.
+BLOCK_LINKS = 1_000_000
 
 
 class Graph(NamedTuple):
@@ -49,19 +50,18 @@ def _weighted_links(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(links, sources): parallel edges merged to a weight, and out-degree per source.
 
     A source with very many targets gets several ``block`` numbers. Its links are split over them
-    and its rank is copied to each, so that no join task receives all links of a hot source. At
-    most ``HOT_SHARE`` sources can be that large, which bounds the table that is broadcast.
+    and its rank is copied to each, so that no join key has more than ``BLOCK_LINKS`` links,
+    whatever the size of the table. There are at most links / BLOCK_LINKS such sources.
     """
     links = cut_lineage(edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("weight")))
     sources = links.groupBy("src").agg(
         F.sum("weight").alias("out"), F.count(F.lit(1)).alias("targets")
     )
-    block_size = max(1_000, -(-links.count() // HOT_SHARE))
-    blocks = F.ceil(F.col("targets") / block_size).cast("int")
+    blocks = F.ceil(F.col("targets") / BLOCK_LINKS).cast("int")
     sources = sources.select("src", "out", blocks.alias("blocks"))
     hot = sources.filter("blocks > 1").select("src", "blocks")
     place = F.pmod(F.xxhash64("dst"), F.coalesce("blocks", F.lit(1))).cast("int")
-    links = links.join(F.broadcast(hot), "src", "left").select(
+    links = links.join(hot, "src", "left").select(
         "src", place.alias("block"), "dst", "weight"
     )
     return links, sources
@@ -74,14 +74,19 @@ def pagerank(
 
     All vertices start at 1. A step gives every vertex ``reset`` plus ``1 - reset`` of the shares
     received. Where vertices without outgoing edges lose rank, the result is scaled back.
+
+    Links and vertices are partitioned by their join keys once and kept so: a step moves the
+    shares and what they add up to, never the links. A lost part of them is read again from the
+    written copy.
     """
     links, sources = _weighted_links(graph.edges)
-    links = cut_lineage(links)
-    vertices = cut_lineage(
-        graph.vertices.join(sources, graph.vertices["id"] == sources["src"], "left").select(
-            "id", "out", "blocks"
-        )
+    vertices = graph.vertices.join(sources, graph.vertices["id"] == sources["src"], "left").select(
+        "id", "out", "blocks"
     )
+    parts = int(graph.edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    links = links.repartition(parts, "src", "block").persist(StorageLevel.MEMORY_AND_DISK)
+    vertices = cut_lineage(vertices)
+    vertices = vertices.repartition(parts, "id").persist(StorageLevel.MEMORY_AND_DISK)
     ranks = vertices.withColumn("rank", F.lit(1.0))
     for step in range(1, iterations + 1):
         shares = ranks.filter("out IS NOT NULL").select(
@@ -101,6 +106,8 @@ def pagerank(
         if step % checkpoint_every == 0 or step == iterations:
             ranks = cut_lineage(ranks)
     total, size = ranks.agg(F.sum("rank"), F.count(F.lit(1))).first()
+    for kept in (links, vertices):  # the ranks are written by now
+        kept.unpersist()
     scale = size / total if total else 1.0
     return ranks.select("id", (F.col("rank") * scale).alias("pagerank"))
 

@@ -38,7 +38,8 @@ def test_pagerank_equals_brute_force(spark, name):
     assert sum(ranks.values()) == pytest.approx(len(ranks))
 
 
-def test_hot_source_is_split(spark):
+def test_hot_source_is_split(spark, monkeypatch):
+    monkeypatch.setattr(G, "BLOCK_LINKS", 1_000)
     edges = spark.range(3000).select(
         F.when(F.col("id") < 2500, "hub").otherwise(F.concat(F.lit("s"), F.col("id"))).alias("src"),
         F.concat(F.lit("t"), F.col("id")).alias("dst"),
@@ -57,3 +58,21 @@ def test_size_and_filter(spark):
     small = graph(spark, EDGES["parallel"])
     assert tuple(G.graph_size(small).first()) == (4, 6)
     assert G.edge_filter(small, "r").count() == 6 and G.edge_filter(small, "x").count() == 0
+
+
+def test_links_stay_where_they_are(spark, monkeypatch):
+    """No step of PageRank moves the links: they are read as kept, without an exchange of their own."""
+    plans = []
+    real = G.cut_lineage
+
+    def seen(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return real(df)
+
+    monkeypatch.setattr(G, "cut_lineage", seen)
+    graph = G.build_graph(spark.range(500).selectExpr("id % 50 AS a", "id % 7 AS b"), "a", "b", F.lit("r"))
+    G.pagerank(graph, iterations=1)
+    step = plans[-1]
+    assert "InMemoryTableScan" in step
+    kept = [line for line in step.split("\n") if "InMemoryTableScan [src" in line or "InMemoryTableScan [id" in line]
+    assert len(kept) >= 2
