@@ -12,6 +12,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.stat import Correlation, Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -23,8 +25,8 @@ from connlens.sources.tables import spread_if_few
 SMALL_COLUMN = 200_000
 # ... as long as together they hold no more than this many values (about 80 MB).
 SMALL_TOTAL = 5_000_000
-# A value with more than this share of the rows is spread over several join keys.
-HOT_SHARE = 1_000
+# Rows of one value in one join key. A value with more is spread over several keys.
+BLOCK_ROWS = 1_000_000
 
 _SUMS = "a int, b int, total double"
 _COUNTS = "feature int, value double, n long"
@@ -56,13 +58,13 @@ def _matrix(sums: DataFrame, columns: list[str]) -> DataFrame:
     )
     rows = sums.filter(F.col("a") == size).select(F.col("total").alias("n"))
     one = shift.join(squares, "i").withColumn("n", rows.scalar())
-    spread = F.col("squares") - F.col("shift") ** 2 / F.col("n")
+    spread = F.col("squares") - F.try_divide(F.col("shift") ** 2, F.col("n"))
     # What rounding leaves of the spread of a constant column is not a spread.
     one = one.select("i", "shift", "n", F.when(spread > F.col("squares") * 1e-14, spread).alias("s"))
     left = one.toDF("a", "shift_a", "n", "s_a")
     right = one.drop("n").toDF("b", "shift_b", "s_b")
-    product = F.col("total") - F.col("shift_a") * F.col("shift_b") / F.col("n")
-    rho = product / (F.sqrt("s_a") * F.sqrt("s_b"))
+    product = F.col("total") - F.try_divide(F.col("shift_a") * F.col("shift_b"), F.col("n"))
+    rho = F.try_divide(product, F.sqrt("s_a") * F.sqrt("s_b"))
     rho = F.when(F.col("a") == F.col("b"), F.when(F.col("s_a").isNotNull(), 1.0)).when(
         rho.isNotNull(), F.greatest(F.lit(-1.0), F.least(F.lit(1.0), rho))
     )
@@ -113,10 +115,30 @@ def _cross_sums(rows: DataFrame, centre: list[float], ranks=None) -> DataFrame:
 
 
 def pearson_matrix(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Pearson correlation of all pairs of columns."""
-    numbers = [F.col(c).cast("double") for c in columns]
-    means = df.agg(*[F.avg(F.when(~F.isnan(v), v)) for v in numbers]).first()
-    return _matrix(_cross_sums(_vectors(df, columns), [m or 0.0 for m in means]), columns)
+    """Pearson correlation of all pairs of columns; null where a column is constant.
+
+    Rows with a null or NaN in any of the columns are left out of every pair; for pairs of their
+    own complete rows, ask for two columns at a time. The matrix has columns x columns cells and
+    comes to the driver; rows are read twice, for the constant columns and for the products.
+    """
+    plain = df.select(*[F.col(f"`{c}`").cast("double").alias(f"c{i}") for i, c in enumerate(columns)])
+    names = plain.columns
+    known = VectorAssembler(inputCols=names, outputCol="x", handleInvalid="skip").transform(
+        plain.na.drop(subset=names)  # null and NaN
+    )
+    rows = known.select("x")
+    cells = [[None] * len(columns) for _ in columns]
+    if not rows.isEmpty():
+        ends = Summarizer.metrics("min", "max").summary(F.col("x"))
+        ends = rows.select(ends.alias("s")).select("s.*").first()
+        varies = ends["min"].toArray() < ends["max"].toArray()
+        values = Correlation.corr(rows, "x").first()[0].toArray()
+        cells = [
+            [float(v) if varies[a] and varies[b] else None for b, v in enumerate(row)]
+            for a, row in enumerate(values)
+        ]
+    found = [(a, b, cells[i][j]) for i, a in enumerate(columns) for j, b in enumerate(columns)]
+    return df.sparkSession.createDataFrame(found, "feature_a string, feature_b string, rho double")
 
 
 def _value_counts(rows: DataFrame, size: int) -> DataFrame:
@@ -167,14 +189,13 @@ def value_ranks(rows: DataFrame, size: int) -> DataFrame:
     )
 
 
-def _join_rank(rows: DataFrame, position: int, ranks: DataFrame, total: int) -> DataFrame:
+def _join_rank(rows: DataFrame, position: int, ranks: DataFrame) -> DataFrame:
     """Replace the values of one column by their ranks, for a column with many distinct values.
 
-    A value with many rows is joined under several salts. Fewer than ``HOT_SHARE`` values can have
-    that many rows, which bounds the broadcast table of salts.
+    A value with many rows is joined under several salts, so that no join key has more than
+    ``BLOCK_ROWS`` rows, whatever the size of the table. At most rows / BLOCK_ROWS values are salted.
     """
-    block = max(1_000, -(-total // HOT_SHARE))
-    ranks = ranks.select("value", "rank", F.ceil(F.col("n") / block).cast("int").alias("salts"))
+    ranks = ranks.select("value", "rank", F.ceil(F.col("n") / BLOCK_ROWS).cast("int").alias("salts"))
     hot = ranks.filter("salts > 1").select("value", "salts")
     salted = ranks.select(
         "value", "rank", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt")
@@ -183,7 +204,7 @@ def _join_rank(rows: DataFrame, position: int, ranks: DataFrame, total: int) ->
     ranked = F.transform("x", lambda v, i: F.when(i == position, F.col("rank")).otherwise(v))
     return (
         rows.withColumn("value", F.get("x", F.lit(position)))
-        .join(F.broadcast(hot), "value", "left")
+        .join(hot, "value", "left")
         .withColumn("salt", salt)
         .join(salted, ["value", "salt"])
         .select(ranked.alias("x"), "weight")
@@ -198,6 +219,9 @@ def spearman_matrix(
 ) -> DataFrame:
     """Rank correlation of all pairs of columns; equal values share their average rank.
 
+    Rows with a null or NaN in any of the columns are left out of every pair. A table without
+    complete rows has null cells only.
+
     Columns with few distinct values are ranked by lookup inside the task that reads them, the
     others by a salted join, after equal rows have been merged to one row with a weight.
     """
@@ -218,7 +242,7 @@ def spearman_matrix(
     if large:
         rows = rows.groupBy("x").agg(F.sum("weight").alias("weight"))
     for position in large:
-        rows = _join_rank(rows, position, ranks.filter(F.col("feature") == position), total)
+        rows = _join_rank(rows, position, ranks.filter(F.col("feature") == position))
 
     table = ranks.filter(F.col("feature").isin(small)).toPandas()
     tables = {}

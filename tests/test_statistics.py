@@ -35,7 +35,7 @@ def test_spearman(spark, numbers, small):
 
 
 def test_hot_value_is_salted(spark, numbers, monkeypatch):
-    monkeypatch.setattr(C, "HOT_SHARE", 2500)  # 1,000 rows per salt
+    monkeypatch.setattr(C, "BLOCK_ROWS", 100)
     got = as_frame(C.spearman_matrix(spark.createDataFrame(numbers), COLUMNS, small_column=0))
     np.testing.assert_allclose(got, numbers.corr("spearman").to_numpy(), atol=1e-9)
 
