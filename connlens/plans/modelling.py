@@ -10,12 +10,12 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from connlens.fields import CATEGORIES, FEATURE_GROUPS
-from connlens.functions import binary_label
+from connlens.functions import binary_label, in_hash_sample
 from connlens.operators import classifiers as K
 from connlens.operators import evaluation as E
 from connlens.operators import features as Q
 from connlens.plans.roles import KEY, interactions, over_interactions
-from connlens.sources import read_table
+from connlens.sources import cut_lineage, read_table
 
 TEST_FRACTION = 0.2
 SEED = 7
@@ -47,23 +47,26 @@ def _documents(spark, folder):
     return Q.hash_split(rows, "text_hash", 0.5, SEED)
 
 
-def _compared(name, model, train, test, **others):
-    scored = {name: K.predict(model, test), "majority class": E.majority_class(train, test)}
-    return E.model_comparison({**scored, **others})
+def _compared(models, train, test):
+    """Metrics of the models and of always guessing the most frequent label, from one scoring."""
+    majority = E.majority_class(train, test)
+    scored = K.predictions(models, test).unionByName(
+        majority.select(F.lit("majority class").alias("model"), "label", "prediction")
+    )
+    return E.model_comparison(scored)
 
 
 def _logistic(group):
     def query(spark, folder):
-        train, test = _sides(_labelled(spark, folder))
+        train, test = map(cut_lineage, _sides(_labelled(spark, folder)))
         columns = FEATURE_GROUPS[group]
-        with_intercept = K.logistic_regression(train, columns, intercept=True)
-        return _compared(
-            f"logistic, {group}",
-            K.logistic_regression(train, columns),
-            train,
-            test,
-            **{f"logistic with intercept, {group}": K.predict(with_intercept, test)},
-        )
+        models = {
+            f"logistic, {group}": K.logistic_regression(train, columns),
+            f"logistic with intercept, {group}": K.logistic_regression(
+                train, columns, intercept=True
+            ),
+        }
+        return _compared(models, train, test)
 
     return query
 
@@ -101,16 +104,18 @@ def _tree(spark, folder, label):
     rows = _labelled(spark, folder)
     if label == "multi":
         rows = Q.encode_label_multi(rows.drop("label"))
-    train, test = _sides(rows)
+    train, test = map(cut_lineage, _sides(rows))
     return K.decision_tree(train, INDEXED_NUMBERS, CATEGORIES), train, test
 
 
 def _decision_tree(spark, folder):
-    return _compared("decision tree", *_tree(spark, folder, "binary"))
+    model, train, test = _tree(spark, folder, "binary")
+    return _compared({"decision tree": model}, train, test)
 
 
 def _decision_tree_multi(spark, folder):
-    return _compared("decision tree, all labels", *_tree(spark, folder, "multi"))
+    model, train, test = _tree(spark, folder, "multi")
+    return _compared({"decision tree, all labels": model}, train, test)
 
 
 def _tree_rules(spark, folder):
@@ -120,10 +125,10 @@ def _tree_rules(spark, folder):
 
 def _two_tasks(name, fit):
     def query(spark, folder):
-        train, test = _sides(_labelled(spark, folder))
-        planted = _compared(name, fit(train, INDEXED_NUMBERS, CATEGORIES), train, test)
-        train, test = _documents(spark, folder)
-        quality = _compared(name, fit(train, RATIOS, ["lang"]), train, test)
+        train, test = map(cut_lineage, _sides(_labelled(spark, folder)))
+        planted = _compared({name: fit(train, INDEXED_NUMBERS, CATEGORIES)}, train, test)
+        train, test = map(cut_lineage, _documents(spark, folder))
+        quality = _compared({name: fit(train, RATIOS, ["lang"])}, train, test)
         return planted.select(F.lit("planted").alias("task"), "*").union(
             quality.select(F.lit("document quality"), "*")
         )
@@ -132,8 +137,12 @@ def _two_tasks(name, fit):
 
 
 def _predict(spark, folder):
-    model, _, test = _tree(spark, folder, "binary")
-    return K.predict(model, test, KEY)
+    """Every row, held out or not, with its key and label; whether training saw it is marked."""
+    model, _, _ = _tree(spark, folder, "binary")
+    rows = _labelled(spark, folder)
+    return K.predict(model, rows, KEY).withColumn(
+        "held_out", in_hash_sample(KEY, TEST_FRACTION, SEED)
+    )
 
 
 def _align_predictions(spark, folder):
@@ -163,7 +172,7 @@ def _classification_metrics(spark, folder):
 
 
 def _model_comparison(spark, folder):
-    train, test = _sides(_labelled(spark, folder))
+    train, test = map(cut_lineage, _sides(_labelled(spark, folder)))
     models = {
         "logistic, numeric": K.logistic_regression(train, FEATURE_GROUPS["numeric"]),
         "logistic, uncorrelated": K.logistic_regression(train, FEATURE_GROUPS["uncorrelated"]),
@@ -173,9 +182,7 @@ def _model_comparison(spark, folder):
         "gradient boosting": K.gradient_boosting(train, INDEXED_NUMBERS, CATEGORIES),
         "linear svm": K.linear_svm(train, INDEXED_NUMBERS, CATEGORIES),
     }
-    scored = {name: K.predict(model, test) for name, model in models.items()}
-    scored["majority class"] = E.majority_class(train, test)
-    return E.model_comparison(scored)
+    return _compared(models, train, test)
 
 
 QUERIES = {

@@ -19,7 +19,25 @@ def _events(spark, folder):
 
 
 def _sample_fraction(spark, folder):
-    return S.sample_fraction(_events(spark, folder), FRACTION, SEED)
+    """What must hold for any Bernoulli sample: a part of the table, no row twice, a likely size."""
+    rows = _events(spark, folder)
+    sample = S.sample_fraction(rows, FRACTION, SEED)
+    total = rows.agg(F.count(F.lit(1)).alias("total_rows"))
+    found = sample.withColumn("sampled", F.lit(1)).join(rows, rows.columns, "left_semi")
+    size = found.agg(F.count(F.lit(1)).alias("inside"), F.count_distinct("event_id").alias("ids"))
+    drawn = sample.agg(F.count(F.lit(1)).alias("drawn"))
+    both = total.select("*", F.lit(1).alias("one")).join(
+        size.select("*", F.lit(1).alias("one")), "one"
+    )
+    both = both.join(drawn.select("*", F.lit(1).alias("one")), "one")
+    deviation = F.abs(F.col("drawn") - F.col("total_rows") * FRACTION)
+    likely = 5 * F.sqrt(F.col("total_rows") * FRACTION * (1 - FRACTION))
+    return both.select(
+        "total_rows",
+        (F.col("inside") == F.col("drawn")).alias("part_of_table"),
+        (F.col("ids") == F.col("drawn")).alias("no_row_twice"),
+        (deviation <= likely).alias("likely_size"),
+    )
 
 
 def _sample_fraction_hash(spark, folder):
@@ -125,6 +143,10 @@ def _pagerank_sql() -> str:
 
 
 ORACLES = {
+    "sample_fraction": (
+        "SELECT count(*) AS total_rows, true AS part_of_table, true AS no_row_twice, "
+        "true AS likely_size FROM events"
+    ),
     "sample_fraction_hash": f"SELECT event_id, event_type, value FROM events WHERE {_IN_SAMPLE}",
     "sample_ratio": (
         f"SELECT count(*) FILTER (WHERE {_IN_SAMPLE}) AS sample_rows, count(*) AS total_rows, "

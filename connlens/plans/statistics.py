@@ -89,6 +89,11 @@ def _high_correlation(spark, folder):
     return pairs.select("feature_a", "feature_b", _rho())
 
 
+def _correlated_variables(spark, folder):
+    pairs = C.high_correlation(C.spearman_matrix(_rows(spark, folder), NUMERIC), THRESHOLD)
+    return C.correlated_variables(pairs)
+
+
 def _drop_correlated(spark, folder):
     pairs = C.high_correlation(C.spearman_matrix(_rows(spark, folder), NUMERIC), THRESHOLD)
     return C.drop_correlated(pairs, NUMERIC)
@@ -105,11 +110,12 @@ def _chi_square(spark, folder):
 
 def _contingency(spark, folder):
     rows = _rows(spark, folder).select(*DISCRETE, binary_label("attack").alias("label"))
-    return X.contingency(rows, ["land", "hot", "logged_in", "rerror_rate"], "label")
+    return X.contingency(rows, DISCRETE, "label")
 
 
 def _select_by_pvalue(spark, folder):
-    return X.select_by_pvalue(_tested(spark, folder), 0.05)
+    chosen = X.select_by_pvalue(_tested(spark, folder), 0.05)
+    return chosen.select("feature", "dof", F.round("p_value", 6).alias("p_value"))
 
 
 QUERIES = {
@@ -121,6 +127,7 @@ QUERIES = {
     "spearman_matrix": _spearman_matrix,
     "pearson_matrix": _pearson_matrix,
     "high_correlation": _high_correlation,
+    "correlated_variables": _correlated_variables,
     "drop_correlated": _drop_correlated,
     "chi_square": _chi_square,
     "contingency": _contingency,
@@ -210,6 +217,22 @@ def _cells_sql(columns: list[str]) -> str:
     )
 
 
+_TESTED = (
+        f"WITH {_cells_sql(DISCRETE)}, "
+        "by_value AS (SELECT feature, value, sum(n)::DOUBLE AS value_n FROM cells GROUP BY ALL), "
+        "by_label AS (SELECT feature, label, sum(n)::DOUBLE AS label_n FROM cells GROUP BY ALL), "
+        "sizes AS (SELECT feature, sum(n)::DOUBLE AS total, count(DISTINCT value) AS vs, "
+        "count(DISTINCT label) AS ls FROM cells GROUP BY feature), "
+        "grid AS (SELECT v.feature, s.vs, s.ls, v.value_n * l.label_n / s.total AS e, "
+        "coalesce(c.n, 0) AS n FROM by_value v JOIN by_label l ON v.feature = l.feature "
+        "JOIN sizes s ON v.feature = s.feature LEFT JOIN cells c ON c.feature = v.feature "
+        "AND c.value = v.value AND c.label = l.label), "
+        "tested AS (SELECT feature, CASE WHEN max(vs) > 1 THEN sum((n - e) * (n - e) / e) "
+        "ELSE 0.0::DOUBLE END AS statistic, (max(vs) - 1) * (max(ls) - 1) AS dof "
+        "FROM grid GROUP BY feature) "
+)
+
+
 ORACLES = {
     "describe_columns": over_interactions(
         " UNION ALL ".join(
@@ -234,6 +257,10 @@ ORACLES = {
     "spearman_matrix": _matrix_sql(True) + "SELECT feature_a, feature_b, rho FROM matrix",
     "pearson_matrix": _matrix_sql(False) + "SELECT feature_a, feature_b, rho FROM matrix",
     "high_correlation": _matrix_sql(True) + _HIGH,
+    "correlated_variables": (
+        _matrix_sql(True).rstrip()
+        + f", pairs AS ({_HIGH}) SELECT feature_a AS feature FROM pairs UNION SELECT feature_b FROM pairs"
+    ),
     "drop_correlated": (
         (_matrix_sql(True).rstrip() + _GROUPS).replace("WITH interactions", "WITH RECURSIVE interactions", 1)
         + "reach AS (SELECT feature AS a, feature AS b FROM places UNION "
@@ -243,22 +270,20 @@ ORACLES = {
         "SELECT f.feature, p.feature AS keeper, f.feature = p.feature AS kept "
         "FROM firsts f JOIN places p ON f.place = p.place"
     ),
-    "chi_square": over_interactions(
-        f"WITH {_cells_sql(DISCRETE)}, "
-        "by_value AS (SELECT feature, value, sum(n)::DOUBLE AS value_n FROM cells GROUP BY ALL), "
-        "by_label AS (SELECT feature, label, sum(n)::DOUBLE AS label_n FROM cells GROUP BY ALL), "
-        "sizes AS (SELECT feature, sum(n)::DOUBLE AS total, count(DISTINCT value) AS vs, "
-        "count(DISTINCT label) AS ls FROM cells GROUP BY feature), "
-        "grid AS (SELECT v.feature, s.vs, s.ls, v.value_n * l.label_n / s.total AS e, "
-        "coalesce(c.n, 0) AS n FROM by_value v JOIN by_label l ON v.feature = l.feature "
-        "JOIN sizes s ON v.feature = s.feature LEFT JOIN cells c ON c.feature = v.feature "
-        "AND c.value = v.value AND c.label = l.label) "
-        "SELECT feature, round(CASE WHEN max(vs) > 1 THEN sum((n - e) * (n - e) / e) "
-        "ELSE 0.0::DOUBLE END, 4) AS statistic, (max(vs) - 1) * (max(ls) - 1) AS dof "
-        "FROM grid GROUP BY feature"
+    "chi_square": over_interactions(_TESTED + "SELECT feature, round(statistic, 4) AS statistic, dof FROM tested"),
+    # P(X < x) for a chi-square variable is a sum of Poisson terms that begins at half the dof.
+    "select_by_pvalue": over_interactions(
+        _TESTED.rstrip()
+        + ", terms AS (SELECT feature, dof, statistic, unnest(range(0, "
+        "ceil(statistic / 2 + 40 * sqrt(statistic / 2 + 1) + 200)::BIGINT)) AS k "
+        "FROM tested WHERE dof > 0 AND statistic > 0), "
+        "tails AS (SELECT feature, dof, greatest(0.0::DOUBLE, 1 - sum(exp(-statistic / 2 "
+        "+ (dof / 2 + k) * ln(statistic / 2) - lgamma(dof / 2 + k + 1)))) AS p FROM terms "
+        "GROUP BY feature, dof) "
+        "SELECT feature, dof, round(p, 6) AS p_value FROM tails WHERE p < 0.05"
     ),
     "contingency": over_interactions(
-        f"WITH {_cells_sql(['land', 'hot', 'logged_in', 'rerror_rate'])} "
+        f"WITH {_cells_sql(DISCRETE)} "
         "SELECT feature, value, label, n FROM cells"
     ),
 }

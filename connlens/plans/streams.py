@@ -42,7 +42,38 @@ def _stream_micro_batch(spark, folder):
     path = new_scratch_path(spark, "batch-counts")
     query = batch_counts(lines, path, new_scratch_path(spark, "batch-state"), None)
     await_stream(query, TIMEOUT)
-    return spark.read.schema("n long, batch_id long").parquet(path)
+    counts = spark.read.schema("n long, batch_id long").parquet(path)
+    numbered = F.max("batch_id") + 1 == F.count_distinct("batch_id")
+    return counts.agg(
+        F.sum("n").alias("lines"),
+        (numbered & (F.min("batch_id") == 0)).alias("without_gaps"),
+        (F.count(F.lit(1)) == F.count_distinct("batch_id")).alias("one_row_each"),
+    )
+
+
+def _stream_lifecycle(spark, folder):
+    """Start with a timed trigger, let the lines arrive in two intervals, stop."""
+    lines = raw_lines(spark, folder)
+    path = new_scratch_path(spark, "timed-input")
+    early = F.pmod(F.xxhash64("value"), F.lit(2)) == 0
+    lines.filter(early).write.text(path)
+    counts = new_scratch_path(spark, "timed-counts")
+    query = batch_counts(
+        stream_lines(spark, path), counts, new_scratch_path(spark, "timed-state"), "1 second"
+    )
+    try:
+        query.processAllAvailable()
+        lines.filter(~early).write.mode("append").text(path)
+        query.processAllAvailable()
+        was_active = query.isActive
+    finally:
+        query.stop()
+    rows = spark.read.schema("n long, batch_id long").parquet(counts)
+    return rows.agg(
+        F.sum("n").alias("lines"),
+        (F.count_if(F.col("n") > 0) >= 2).alias("several_batches"),
+        F.lit(was_active and not query.isActive).alias("stopped"),
+    )
 
 
 def _stream_skip_blank(spark, folder):
@@ -89,6 +120,7 @@ def _stream_errors(spark, folder):
 QUERIES = {
     "stream_lines": _stream_lines,
     "stream_micro_batch": _stream_micro_batch,
+    "stream_lifecycle": _stream_lifecycle,
     "stream_sql": _stream_sql,
     "stream_skip_blank": _stream_skip_blank,
     "stream_errors": _stream_errors,
@@ -96,6 +128,12 @@ QUERIES = {
 
 ORACLES = {
     "stream_lines": "SELECT l_returnflag AS tag, count(*) AS n FROM lineitem GROUP BY 1",
+    "stream_micro_batch": (
+        "SELECT count(*) AS lines, true AS without_gaps, true AS one_row_each FROM lineitem"
+    ),
+    "stream_lifecycle": (
+        "SELECT count(*) AS lines, true AS several_batches, true AS stopped FROM lineitem"
+    ),
     "stream_skip_blank": f"SELECT {RAW_LINE} AS value FROM lineitem WHERE l_returnflag <> 'A'",
     "stream_sql": over_interactions(
         "SELECT 0::BIGINT AS batch_id, (row_number() OVER (ORDER BY attack) - 1)::INTEGER "

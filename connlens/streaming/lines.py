@@ -11,9 +11,17 @@ from pyspark.sql.streaming import StreamingQuery
 BATCH_INTERVAL = "10 seconds"
 
 
-def stream_lines(spark: SparkSession, folder: str, files_per_batch: int = 1_000) -> DataFrame:
-    """Lines of the files in a folder, and of those that arrive later, as column ``value``."""
-    return spark.readStream.option("maxFilesPerTrigger", files_per_batch).text(folder)
+def stream_lines(
+    spark: SparkSession, folder: str, files_per_batch: int | None = None
+) -> DataFrame:
+    """Lines of the files in a folder, and of those that arrive later, as column ``value``.
+
+    A batch takes all files that are there, or ``files_per_batch`` of them.
+    """
+    reader = spark.readStream
+    if files_per_batch is not None:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return reader.text(folder)
 
 
 def skip_blank(lines: DataFrame, value: str = "value") -> DataFrame:

@@ -14,7 +14,7 @@ DATA = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     session = (
-        SparkSession.builder.master("local[8]")
+        SparkSession.builder.master(os.environ.get("TEST_MASTER", "local[8]"))
         .appName("connlens-tests")
         .config("spark.driver.memory", "6g")
         .config("spark.sql.shuffle.partitions", "4")
