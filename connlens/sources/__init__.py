@@ -9,6 +9,7 @@ from connlens.sources.lines import (
     split_rejects,
 )
 from connlens.sources.storage import (
+    clear_scratch,
     cut_lineage,
     new_scratch_path,
     read_table,
@@ -27,6 +28,7 @@ from connlens.sources.tables import (
 
 __all__ = [
     "cache_table",
+    "clear_scratch",
     "cut_lineage",
     "narrow_interactions",
     "new_scratch_path",

@@ -13,6 +13,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _local_folder: str | None = None
+_written: list[str] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -30,7 +31,23 @@ def shared_folder(spark: SparkSession) -> str:
 
 def new_scratch_path(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that no other run uses."""
-    return f"{shared_folder(spark)}/connlens/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/connlens/{name}-{uuid.uuid4().hex}"
+    _written.append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Delete what this process has written under scratch paths; returns the number of paths.
+
+    Call it when the results of its queries are written or no longer needed: tables that still
+    read from such a path fail afterwards. Paths of other processes are never touched.
+    """
+    jvm, configuration = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    removed = 0
+    while _written:
+        path = jvm.org.apache.hadoop.fs.Path(_written.pop())
+        removed += bool(path.getFileSystem(configuration).delete(path, True))
+    return removed
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

@@ -5,6 +5,8 @@ from pyspark.sql import types as T
 
 from connlens import fields
 from connlens.sources import (
+    clear_scratch,
+    new_scratch_path,
     parse_fields,
     parse_interactions,
     pick_fields,
@@ -142,3 +144,13 @@ def test_only_tables_of_few_files_are_spread(spark, tmp_path):
     few, many = (spark.read.parquet(f"{tmp_path}/{files}") for files in (1, 2 * cores))
     assert spread_if_few(few).rdd.getNumPartitions() == cores
     assert spread_if_few(many) is many
+
+
+def test_own_scratch_tables_are_removed(spark):
+    import os
+
+    paths = [new_scratch_path(spark, "kept-for-a-while") for _ in range(2)]
+    spark.range(5).write.parquet(paths[0])
+    assert os.path.isdir(paths[0])
+    assert clear_scratch(spark) >= 1
+    assert not os.path.exists(paths[0]) and clear_scratch(spark) == 0
