@@ -28,6 +28,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -35,10 +36,10 @@ from pyspark.sql import functions as F
 from connlens.llm.common import written
 
 NULL_ID = -(2**63)
-#: Words of texts in one block, and in one pass over a long text.
-BLOCK_WORDS = 1_000_000
+#: Words of texts in one block, and in one pass over a long text; bytes of texts that are split into words at once.
+BLOCK_WORDS, BLOCK_BYTES = 400_000, 2_500_000
 #: Known words of a worker; beyond, it starts anew.
-KNOWN_WORDS = 500_000
+KNOWN_WORDS = 300_000
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -143,6 +144,20 @@ class _Block:
             self.k2 = _rolling(high, how.length, _M2)[self.windows].view(np.int64)
 
 
+def _parts(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
+    """The rows of the batches, with texts of about BLOCK_BYTES at a time; a longer text comes alone."""
+    for batch in batches:
+        sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0).to_pylist()
+        start = total = 0
+        for i, size in enumerate(sizes):
+            if i > start and total + size > BLOCK_BYTES:
+                yield batch.slice(start, i - start)
+                start, total = i, 0
+            total += size
+        if start < len(sizes):
+            yield batch.slice(start)
+
+
 def _words(texts: list[str | None]) -> list[list[bytes]]:
     return [(t or "").encode().split() for t in texts]  # bytes.split cuts at exactly the six blanks
 
@@ -173,7 +188,7 @@ def _sketch(how: Windows, shards: int):
                 yield {"shard": s, "kind": kind, "cells": cells[part], "docs": None if docs is None else docs[part]}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _parts(batches, "text"):
             keys, words = batch.column(0).to_numpy(zero_copy_only=False), _words(batch.column(1).to_pylist())
             counts = np.fromiter(map(len, words), np.int64, len(words))
             for a, b in _passes(counts, how.length):
@@ -224,7 +239,7 @@ def _candidates(how: Windows):
     """Windows with a repeated cell: key, k1, k2, start."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _parts(batches, "text"):
             for keys, _, block, chosen in _chosen(batch, how):
                 arrays = [keys[block.row[chosen]], block.k1[chosen], block.k2[chosen], block.start[chosen]]
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()) for a in arrays], ["key", "k1", "k2", "start"])
@@ -254,7 +269,7 @@ def _removal(how: Windows):
     """Per row: number of words, number removed, digest of the words that stay."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _parts(batches, "text"):
             removed: dict[int, np.ndarray] = {}
             firsts = batch.column("firsts")
             for _, rows, block, chosen in _chosen(batch, how):
