@@ -133,12 +133,10 @@ def _cache_table(spark, folder):
     rows = cache_table(interactions(spark, folder).select("attack", "duration"))
     normal = rows.filter("attack = 'normal.'").agg(F.count(F.lit(1)).alias("n"))
     longest = rows.agg(F.max("duration").cast("long").alias("n"))
-    counts = normal.select(F.lit("normal").alias("what"), "n").union(
+    # The caller reads the counts, so the table stays kept until the session drops it.
+    return normal.select(F.lit("normal").alias("what"), "n").union(
         longest.select(F.lit("longest"), "n")
     )
-    result = spark.createDataFrame(counts.collect(), "what string, n long")
-    rows.unpersist()
-    return result
 
 
 def _spread(spark, folder):

@@ -64,9 +64,12 @@ def _column_stats_by_tag(spark, folder):
     return _shown(M.column_stats_by_tag(_wide_rows(spark, folder), NUMERIC), "attack")
 
 
-def _variable_stats(spark, folder):
-    stats = M.variable_stats(_rows(spark, folder), "src_bytes")
-    return stats.select("attack", _rounded("mean"), _rounded("std"), "min", "max", "count")
+def _variable_stats(variable):
+    def query(spark, folder):
+        stats = M.variable_stats(_rows(spark, folder), variable)
+        return stats.select("attack", _rounded("mean"), _rounded("std"), "min", "max", "count")
+
+    return query
 
 
 def _rho() -> Column:
@@ -123,7 +126,8 @@ QUERIES = {
     "column_stats": _column_stats,
     "column_stats_for_tag": _column_stats_for_tag,
     "column_stats_by_tag": _column_stats_by_tag,
-    "variable_stats": _variable_stats,
+    "variable_stats": _variable_stats("src_bytes"),
+    "variable_stats_duration": _variable_stats("duration"),
     "spearman_matrix": _spearman_matrix,
     "pearson_matrix": _pearson_matrix,
     "high_correlation": _high_correlation,
@@ -153,6 +157,15 @@ def _stats_sql(columns: list[str], keys: str = "", where: str = "") -> str:
     return over_interactions(" UNION ALL ".join(parts))
 
 
+def _variable_sql(variable: str) -> str:
+    return over_interactions(
+        f"SELECT attack, {_rounded_sql(f'avg({variable})', 'mean')}, "
+        f"{_rounded_sql(f'stddev_samp({variable})', 'std')}, "
+        f'CAST(min({variable}) AS DOUBLE) AS "min", CAST(max({variable}) AS DOUBLE) AS "max", '
+        f'count({variable}) AS "count" FROM interactions GROUP BY attack'
+    )
+
+
 def _structs(pairs, value) -> str:
     return ", ".join(
         f"{{'feature_a': '{a}', 'feature_b': '{b}', 'rho': {value(a, b)}}}" for a, b in pairs
@@ -248,12 +261,8 @@ ORACLES = {
     "column_stats": _stats_sql(NUMERIC),
     "column_stats_for_tag": _stats_sql(NUMERIC, where="WHERE attack = 'normal.'"),
     "column_stats_by_tag": _stats_sql(NUMERIC, keys="attack"),
-    "variable_stats": over_interactions(
-        f"SELECT attack, {_rounded_sql('avg(src_bytes)', 'mean')}, "
-        f"{_rounded_sql('stddev_samp(src_bytes)', 'std')}, "
-        'CAST(min(src_bytes) AS DOUBLE) AS "min", CAST(max(src_bytes) AS DOUBLE) AS "max", '
-        'count(*) AS "count" FROM interactions GROUP BY attack'
-    ),
+    "variable_stats": _variable_sql("src_bytes"),
+    "variable_stats_duration": _variable_sql("duration"),
     "spearman_matrix": _matrix_sql(True) + "SELECT feature_a, feature_b, rho FROM matrix",
     "pearson_matrix": _matrix_sql(False) + "SELECT feature_a, feature_b, rho FROM matrix",
     "high_correlation": _matrix_sql(True) + _HIGH,
