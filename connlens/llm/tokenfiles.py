@@ -57,7 +57,7 @@ SEGMENT_SCHEMA = (
 
 
 #: Pieces that a worker remembers, twice; and the texts that it takes at once.
-KNOWN_PIECES, SLICE_CHARS = 500_000, 4_000_000
+KNOWN_PIECES, SLICE_CHARS = 300_000, 2_500_000
 
 
 @dataclass(frozen=True)
