@@ -36,7 +36,7 @@ from connlens.llm.common import written
 class Index:
     k: int = 20
     every: int = 20  # queries are the rows whose vec_id it divides
-    sample: int = 8192
+    sample: int = 4096
     graph: int = 10
     levels: int = 5
     hidden: int = 128
@@ -75,8 +75,8 @@ class Router:
 def _graph(x: np.ndarray, k: int) -> np.ndarray:
     """The k rows with the largest inner products of each row."""
     out = []
-    for i in range(0, len(x), 1024):
-        s = x[i : i + 1024] @ x.T
+    for i in range(0, len(x), 256):
+        s = x[i : i + 256] @ x.T
         s[np.arange(len(s)), np.arange(i, i + len(s))] = -np.inf
         out.append(np.argpartition(-s, k - 1, axis=1)[:, :k])
     return np.concatenate(out)
@@ -147,6 +147,15 @@ def learned(x: np.ndarray, how: Index) -> Router:
     return router
 
 
+def _sample(valid: DataFrame, size: int, rows: int, width: int) -> np.ndarray:
+    """Vectors of the `size` smallest digests of vec_id; little more than these come to the driver, each id once."""
+    digest = F.pmod(F.xxhash64("vec_id"), F.lit(1 << 40))
+    share = min(1.0, 1.2 * size / max(1, rows))
+    found = valid.filter(digest < int(share * (1 << 40))).groupBy("vec_id").agg(F.min("vector").alias("vector"))
+    chosen = sorted(found.select(digest.alias("digest"), "vec_id", "vector").collect())[:size]
+    return np.array([r["vector"] for r in chosen], np.float64).reshape(-1, width)
+
+
 def _matrix(column: pa.ListArray, width: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, width)
 
@@ -234,8 +243,7 @@ def search(vectors: DataFrame, how: Index | None = None, vec_id: str = "vec_id",
     widths = valid.groupBy(F.size("vector").alias("width")).count().orderBy(F.desc("count"), "width").first()
     width = widths[0] if widths else 1
     valid = valid.filter(F.size("vector") == width)
-    sample = valid.orderBy(F.xxhash64("vec_id"), "vec_id").limit(how.sample).select("vector").collect()
-    router = learned(np.array([r[0] for r in sample], np.float64).reshape(-1, width), how)
+    router = learned(_sample(valid, how.sample, widths["count"] if widths else 0, width), how)
     schema = "part int, vec_id long, vector array<double>"
     rows = written(valid.mapInArrow(_route(router, width), schema), "ann-rows")
     row_block, row_counts, sizes = _blocks(rows, how.block, len(router.b2))
