@@ -12,8 +12,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.stat import Correlation, Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -118,27 +116,12 @@ def pearson_matrix(df: DataFrame, columns: list[str]) -> DataFrame:
     """Pearson correlation of all pairs of columns; null where a column is constant.
 
     Rows with a null or NaN in any of the columns are left out of every pair; for pairs of their
-    own complete rows, ask for two columns at a time. The matrix has columns x columns cells and
-    comes to the driver; rows are read twice, for the constant columns and for the products.
+    own complete rows, ask for two columns at a time. A table without complete rows has null cells
+    only.
     """
-    plain = df.select(*[F.col(f"`{c}`").cast("double").alias(f"c{i}") for i, c in enumerate(columns)])
-    names = plain.columns
-    known = VectorAssembler(inputCols=names, outputCol="x", handleInvalid="skip").transform(
-        plain.na.drop(subset=names)  # null and NaN
-    )
-    rows = known.select("x")
-    cells = [[None] * len(columns) for _ in columns]
-    if not rows.isEmpty():
-        ends = Summarizer.metrics("min", "max").summary(F.col("x"))
-        ends = rows.select(ends.alias("s")).select("s.*").first()
-        varies = ends["min"].toArray() < ends["max"].toArray()
-        values = Correlation.corr(rows, "x").first()[0].toArray()
-        cells = [
-            [float(v) if varies[a] and varies[b] else None for b, v in enumerate(row)]
-            for a, row in enumerate(values)
-        ]
-    found = [(a, b, cells[i][j]) for i, a in enumerate(columns) for j, b in enumerate(columns)]
-    return df.sparkSession.createDataFrame(found, "feature_a string, feature_b string, rho double")
+    numbers = [F.col(c).cast("double") for c in columns]
+    means = df.agg(*[F.avg(F.when(~F.isnan(v), v)) for v in numbers]).first()
+    return _matrix(_cross_sums(_vectors(df, columns), [m or 0.0 for m in means]), columns)
 
 
 def _value_counts(rows: DataFrame, size: int) -> DataFrame:
