@@ -5,16 +5,15 @@ the hashes. Each task makes the fingerprints of the texts it reads.
 
 Shards. A fingerprint is cut into `blocks` blocks and goes to one shard for each choice of `equal` of them, named by their bits.
 Fingerprints that differ in at most blocks - equal bits agree in `equal` blocks at least, so with radius <= blocks - equal no link is
-lost. With a larger radius shards are a search that can miss; then the links found are checked (below).
+lost.
 
 Trees. The members of a shard form a BK-tree: children are keyed by their Hamming distance to the parent. Each member asks the tree
 of those before it, following only edges within the radius of its distance to a node, and then joins it. Equal fingerprints are one
 member, so copies cost nothing; members that link are united in the task, and each sends one link, to the smallest of its set. A
 shard of the exact search has at most 2**26 different fingerprints, as only so many bits are free.
 
-Checking. With `bits` > 0 each text also has a sketch: for so many hash functions, one bit of the smallest hash of its runs of
-`check_words` words. Two sketches agree in (1 + s) / 2 of their bits on average if s is the Jaccard similarity of the texts' runs. A
-link needs an estimate of `similarity`.
+Similar texts. With `bands` > 0 the links are those of texts whose runs of `check_words` words have a Jaccard similarity of
+`similarity` or more (`similar`); then the fingerprints are given, but not searched.
 
 Components follow from the links (`components`). Nothing is broadcast or collected.
 
@@ -37,6 +36,7 @@ from pyspark.sql import functions as F
 
 from connlens.llm.common import written
 from connlens.llm.components import components
+from connlens.llm.similar import Bands, set_key, similar_components
 
 NO_ID = 2**63 - 1
 
@@ -48,15 +48,16 @@ class Search:
     blocks: int = 5
     equal: int = 3
     seed: int = 42
-    bits: int = 0
+    bands: int = 0
+    rows: int = 4  # smallest hashes in a band
     check_words: int = 5
     similarity: float = 0.0
 
 
 #: By contract: all links at two bits or fewer.
 EXACT = Search()
-#: For texts whose runs of five words have a similarity of 0.8 or more. Estimates stray by 0.04 (one standard deviation).
-SIMILAR = Search(radius=14, blocks=8, equal=2, bits=256, similarity=0.77)
+#: For texts whose runs of five words have a similarity of 0.8 or more. At 0.8 a pair shares no band once in 4,600 times, above less often.
+SIMILAR = Search(bands=16, rows=4, similarity=0.8)
 
 
 def _hashes(words: list[bytes], n: int, seed: int) -> np.ndarray:
@@ -78,40 +79,40 @@ def fingerprint(hashes: np.ndarray) -> int:
     return int.from_bytes(np.packbits(2 * ones > len(hashes), bitorder="little").tobytes(), "little")
 
 
-def _functions(bits: int) -> tuple[np.ndarray, np.ndarray]:
-    rng = np.random.default_rng(7)
-    return rng.integers(0, 2**64, bits, np.uint64) | np.uint64(1), rng.integers(0, 2**64, bits, np.uint64)
-
-
-def sketch(hashes: np.ndarray, factors: np.ndarray, offsets: np.ndarray) -> bytes:
-    """One bit of the smallest value of each hash function."""
-    lowest = np.full(len(factors), np.iinfo(np.uint64).max)
-    for start in range(0, len(hashes), 2_000):
-        values = hashes[start : start + 2_000, None] * factors + offsets
-        lowest = np.minimum(lowest, values.min(axis=0))
-    lowest ^= lowest >> np.uint64(31)
-    return np.packbits((lowest * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(63) == 1).tobytes()
-
-
 def _prints(how: Search):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        factors, offsets = _functions(how.bits)
+        banded = Bands(how.bands, how.rows)
         for batch in batches:
-            found, sketches = [], []
+            found, keys, sizes, bands = [], [], [], []
             for text in batch.column(1).to_pylist():
                 words = (text or "").encode().lower().split()
                 found.append(fingerprint(_hashes(words, how.words, how.seed)))
-                sketches.append(sketch(np.unique(_hashes(words, how.check_words, how.seed)), factors, offsets) if how.bits else b"")
+                if how.bands:
+                    runs = np.unique(_hashes(words, how.check_words, how.seed))
+                    keys.append(set_key(runs))
+                    sizes.append(len(runs))
+                    bands.append(banded(runs))
             prints = pa.array(np.array(found, np.uint64).view(np.int64))
-            yield pa.RecordBatch.from_arrays([batch.column(0), prints, pa.array(sketches, pa.binary())], ["doc_id", "print", "sketch"])
+            more = [pa.array(keys, pa.binary()), pa.array(sizes, pa.int64()), pa.array(bands, pa.list_(pa.int64()))] if how.bands else []
+            yield pa.RecordBatch.from_arrays([batch.column(0), prints, *more], ["doc_id", "print", "key", "size", "bands"][: 2 + len(more)])
 
     return run
 
 
 def fingerprints(docs: DataFrame, how: Search = EXACT, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """doc_id, print long (the 64 bits), sketch binary."""
+    """doc_id, print long (the 64 bits); with bands also what `similar` needs."""
     plain = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    return plain.mapInArrow(_prints(how), "doc_id long, print long, sketch binary")
+    return plain.mapInArrow(_prints(how), "doc_id long, print long" + (", key binary, size long, bands array<long>" if how.bands else ""))
+
+
+def _sets(how: Search):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            runs = [np.unique(_hashes((t or "").encode().lower().split(), how.check_words, how.seed)) for t in batch.column(0).to_pylist()]
+            columns = [pa.array(map(set_key, runs), pa.binary()), pa.array((r.tobytes() for r in runs), pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["key", "runs"])
+
+    return run
 
 
 def _shards(how: Search) -> Column:
@@ -160,9 +161,8 @@ class BKTree:
             node = following
 
 
-def _linked(values: list[int], nodes: list[int], sketches: list[int], how: Search) -> list[tuple[int, int]]:
+def _linked(values: list[int], nodes: list[int], how: Search) -> list[tuple[int, int]]:
     """For each member that links to others, its node and the smallest node that its links lead to."""
-    agree = how.bits * (1 + how.similarity) / 2
     above = list(range(len(values)))
 
     def top(i: int) -> int:
@@ -174,12 +174,11 @@ def _linked(values: list[int], nodes: list[int], sketches: list[int], how: Searc
     tree = BKTree()
     for i, value in enumerate(values):
         for j in tree.within(value, how.radius):
-            if not how.bits or how.bits - (sketches[i] ^ sketches[j]).bit_count() >= agree:
-                a, b = top(i), top(j)
-                if a != b:
-                    if nodes[a] > nodes[b]:
-                        a, b = b, a
-                    above[b] = a
+            a, b = top(i), top(j)
+            if a != b:
+                if nodes[a] > nodes[b]:
+                    a, b = b, a
+                above[b] = a
         tree.add(value, i)
     return [(nodes[i], nodes[top(i)]) for i in range(len(values)) if top(i) != i]
 
@@ -199,11 +198,9 @@ def _search(how: Search):
             cut = cut[cut <= keep]
             values = table.column("print").to_numpy().view(np.uint64).tolist()
             nodes = table.column("node").to_pylist()
-            raw = table.column("sketch").to_pylist() if how.bits else []
             found: list[tuple[int, int]] = []
             for a, b in groups(table, cut):
-                sketches = [int.from_bytes(s) for s in raw[a:b]]
-                found += _linked(values[a:b], nodes[a:b], sketches, how)
+                found += _linked(values[a:b], nodes[a:b], how)
             return table.slice(keep), found
 
         for batch in batches:
@@ -227,12 +224,20 @@ def _search(how: Search):
 def near_components(docs: DataFrame, how: Search = EXACT, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """doc_id, fingerprint (16 hex digits) and component_id of every row."""
     prints = written(fingerprints(docs, how, text, doc_id), "prints")
-    members = prints.groupBy("print", "sketch").agg(F.coalesce(F.min("doc_id"), F.lit(NO_ID)).alias("node"))
+    key = "key" if how.bands else "print"
+    node = F.coalesce(F.min("doc_id"), F.lit(NO_ID)).alias("node")
+    members = prints.groupBy(key).agg(node, *(F.first(c).alias(c) for c in ("size", "bands") if how.bands))
     members = written(members, "print-members")
-    spread = members.select(_shards(how).alias("shard"), "print", "node", *(["sketch"] if how.bits else []))
-    links = spread.repartition("shard").sortWithinPartitions("shard", "print").mapInArrow(_search(how), "a long, b long")
-    named = members.join(components(links), "node", "left").select("print", "sketch", F.coalesce("component", "node").alias("component_id"))
-    joined = prints.join(named, ["print", "sketch"])
+    if how.bands:
+        texts = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID)).alias("node"), F.col(text).alias("text"))
+        wanted = lambda nodes: texts.join(nodes, "node", "left_semi").select("text").mapInArrow(_sets(how), "key binary, runs binary")
+        named = similar_components(members, wanted, how.similarity)
+    else:
+        spread = members.select(_shards(how).alias("shard"), "print", "node")
+        links = spread.repartition("shard").sortWithinPartitions("shard", "print").mapInArrow(_search(how), "a long, b long")
+        named = members.join(components(links), "node", "left")
+    named = named.select(key, F.coalesce("component", "node").alias("component_id"))
+    joined = prints.join(named, key)
     component = F.when(F.col("component_id") != NO_ID, F.col("component_id"))
     digits = F.lower(F.lpad(F.hex("print"), 16, "0"))
     return joined.select("doc_id", digits.alias("fingerprint"), component.alias("component_id"))

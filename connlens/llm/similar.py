@@ -1,0 +1,126 @@
+"""Links between sets whose Jaccard similarity reaches a bound: candidates by bands of smallest hashes, checked on the whole sets.
+
+Bands. A set has the smallest value of bands * rows hash functions; those of a band are hashed to one number. Sets of similarity s
+share a band with probability 1 - (1 - s**rows)**bands, wherever they differ. Equal sets are one member. A bucket is all members
+with a number in common; of buckets with the same members one is kept.
+
+Checking. Members of a bucket and their sets come to one task, or to blocks of bounded size; the member with the smallest node is in all
+blocks. A task counts the elements that a member shares with each other, and unites those that reach the bound, until all pairs that it has not
+compared are united already. Only links to the smallest of a component leave the task, so that their number grows with the members.
+
+Rest. If a bucket of several blocks is not one component then, its members outside its largest one meet all its blocks. So
+each pair of a bucket is compared on the sets, or is in one component already; nothing is estimated.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from connlens.llm.common import written
+from connlens.llm.components import components
+
+#: Members and elements of their sets in a block.
+MEMBERS, ELEMENTS = 1024, 1 << 20
+
+
+def set_key(values: np.ndarray) -> bytes:
+    return xxhash.xxh3_128_digest(values.tobytes())
+
+
+class Bands:
+    def __init__(self, bands: int, rows: int) -> None:
+        rng = np.random.default_rng(7)
+        self.bands, self.rows = bands, rows
+        self.factors = rng.integers(0, 2**64, bands * rows, np.uint64) | np.uint64(1)
+        self.offsets = rng.integers(0, 2**64, bands * rows, np.uint64)
+
+    def __call__(self, values: np.ndarray) -> list[int]:
+        lowest = np.full(len(self.factors), np.iinfo(np.uint64).max)
+        for start in range(0, len(values), 2_000):
+            lowest = np.minimum(lowest, (values[start : start + 2_000, None] * self.factors + self.offsets).min(axis=0))
+        parts = lowest.reshape(self.bands, self.rows)
+        return [xxhash.xxh64_intdigest(part.tobytes(), i) - 2**63 for i, part in enumerate(parts)]
+
+
+def united(sets: list[np.ndarray], labels: np.ndarray, similarity: float) -> np.ndarray:
+    """`labels`, each the smallest of those that links between members lead to; members of one label are united from the start."""
+    labels, n = labels.copy(), len(sets)
+    sizes = np.array([len(s) for s in sets])
+    _, element = np.unique(np.concatenate(sets), return_inverse=True)
+    holders = np.repeat(np.arange(n), sizes)[np.argsort(element, kind="stable")]
+    counts = np.bincount(element)
+    first, offsets = np.cumsum(counts) - counts, np.concatenate([[0], np.cumsum(sizes)])
+    left = np.ones(n, bool)
+    while left.any():
+        names, members = np.unique(labels[left], return_counts=True)
+        if len(names) == 1:
+            break  # those left are one component, all others were compared with them
+        i = int(np.flatnonzero(left & (labels != names[members.argmax()]))[0])
+        left[i] = False
+        mine = element[offsets[i] : offsets[i + 1]]
+        many = counts[mine]
+        place = np.repeat(first[mine] - (np.cumsum(many) - many), many) + np.arange(many.sum())
+        shared = np.bincount(holders[place], minlength=n)
+        near = shared >= similarity * (sizes[i] + sizes - shared) - 1e-9
+        near[i] = True
+        found = np.unique(labels[near])
+        if len(found) > 1:
+            labels[np.isin(labels, found)] = found[0]
+    return labels
+
+
+def _links(similarity: float):
+    def run(table: pa.Table) -> pa.Table:
+        before = table.column("label").to_numpy()
+        sets = [np.frombuffer(r, np.uint64) for r in table.column("runs").to_pylist()]
+        after = united(sets, before, similarity)
+        moved = before != after
+        return pa.table({"a": pa.array(before[moved], pa.int64()), "b": pa.array(after[moved], pa.int64())})
+
+    return run
+
+
+def similar_components(members: DataFrame, wanted: Callable[[DataFrame], DataFrame], similarity: float) -> DataFrame:
+    """`members` (key, node, size, bands) with component, null for those without links.
+
+    `wanted` gives key and runs (the set, as bytes of its sorted numbers) for a table of nodes.
+    """
+    spread = members.select("key", "node", "size", F.explode("bands").alias("band"))
+    buckets = spread.groupBy("band").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("size").alias("elements"), F.min("node").alias("smallest"),
+        F.bit_xor(F.xxhash64("key")).alias("x"), F.bit_xor(F.xxhash64("key", F.lit(1))).alias("y"),
+    )
+    kept = buckets.filter("n > 1").groupBy("n", "elements", "smallest", "x", "y").agg(F.min("band").alias("band"))
+    blocks = F.greatest(F.ceil(F.col("n") / MEMBERS), F.ceil(F.col("elements") / ELEMENTS)).alias("blocks")
+    near = spread.join(kept.select("band", "smallest", blocks), "band")
+    block = F.pmod(F.xxhash64("key", "band"), F.col("blocks")).alias("block")
+    near = written(near.select("key", "node", "band", "blocks", block, (F.col("node") == F.col("smallest")).alias("first")), "similar-near")
+    sets = written(wanted(near.select("node").distinct()).groupBy("key").agg(F.first("runs").alias("runs")), "similar-sets")
+
+    own = F.when(F.col("first"), F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).otherwise(F.array("block"))
+    tasks = near.select("key", "band", F.explode(own).alias("block"), F.col("node").alias("label")).join(sets, "key")
+    links = written(tasks.groupBy("band", "block").applyInArrow(_links(similarity), "a long, b long"), "similar-links")
+    found = written(components(links), "similar-components")
+
+    many = near.filter("blocks > 1").join(found, "node", "left").select("key", "band", "blocks", "block", F.coalesce("component", "node").alias("label"))
+    many = written(many, "similar-many")
+    groups = many.groupBy("band", "label").agg(F.count(F.lit(1)).alias("n"))
+    open_ = groups.groupBy("band").agg(F.max_by("label", F.struct("n", "label")).alias("largest"), (F.sum("n") - F.max("n")).alias("others"))
+    open_ = written(open_.filter("others > 0"), "similar-open")
+    if open_.limit(1).count():
+        rest = many.join(open_, "band").withColumn("parts", F.ceil(F.col("others") / MEMBERS))
+        whole = rest.select("key", "band", "label", "block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"))
+        part = F.pmod(F.xxhash64("key", "band", F.lit(2)), F.col("parts")).alias("part")
+        outside = rest.filter("label <> largest").select(
+            "key", "band", "label", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"), part
+        )
+        tasks = whole.unionByName(outside).join(sets, "key")
+        more = tasks.groupBy("band", "block", "part").applyInArrow(_links(similarity), "a long, b long")
+        found = components(links.unionByName(more))
+    return members.join(found, "node", "left")

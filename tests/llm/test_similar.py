@@ -1,0 +1,69 @@
+"""Near copies of the pipeline: pairs that stand alone, and buckets of several blocks, against brute force."""
+
+import random
+
+import numpy as np
+import pytest
+
+from cases import words
+from connlens.llm import similar, simhash
+
+
+def jaccard(a, b, n=5):
+    runs = [{tuple(x[i : i + n]) for i in range(max(1, len(x) - n + 1))} for x in (a, b)]
+    return len(runs[0] & runs[1]) / len(runs[0] | runs[1])
+
+
+def pairs(seed, n):
+    """Texts of 400 words, and copies with single words or one stretch of words changed, half of them at 0.80 to 0.85."""
+    rng = random.Random(seed)
+    for i in range(n):
+        a = words(1000 * seed + i, 400)
+        b = list(a)
+        if i % 2:
+            for at in rng.sample(range(400), rng.randint(6, 11)):
+                b[at] = f"edit{at}"
+        else:
+            start, length = rng.randint(0, 300), rng.randint(28, 55)
+            b[start : start + length] = [f"edit{k}" for k in range(length)]
+        yield a, b
+
+
+def test_isolated_pairs(spark):
+    made = list(pairs(1, 240))
+    rows = [(2 * i + k, " ".join(text)) for i, pair in enumerate(made) for k, text in enumerate(pair)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    found = {r.doc_id: r.component_id for r in simhash.near_components(docs, simhash.SIMILAR).collect()}
+    scores = [jaccard(*pair) for pair in made]
+    assert sum(0.8 <= s < 0.85 for s in scores) >= 60 and sum(s < 0.8 for s in scores) >= 30
+    assert found == {2 * i + k: 2 * i + k * (s < 0.8) for i, s in enumerate(scores) for k in (0, 1)}
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_united_is_exact(seed):
+    rng = np.random.default_rng(seed)
+    sets = [np.unique(rng.integers(0, 2**63, 60).astype(np.uint64)) for _ in range(12)]
+    for s in list(sets):
+        sets += [np.unique(np.append(s[: 60 - k], rng.integers(0, 2**63, k).astype(np.uint64))) for k in rng.integers(0, 14, 6)]
+    sets.append(np.zeros(0, np.uint64))
+    wanted = np.arange(len(sets))
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            both = len(np.intersect1d(a, b))
+            if both >= 0.8 * (len(a) + len(b) - both) and wanted[i] != wanted[j]:
+                wanted[wanted == max(wanted[i], wanted[j])] = min(wanted[i], wanted[j])
+    assert similar.united(sets, np.arange(len(sets)), 0.8).tolist() == wanted.tolist()
+
+
+def test_buckets_of_several_blocks(spark, monkeypatch):
+    """Members that link neither to the first one nor to others of their block."""
+    monkeypatch.setattr(similar, "MEMBERS", 4)
+    base = list(range(1000))
+    sets = [base] + [base[:760] + [10_000 + 1000 * (i // 2) + k for k in range(240)] for i in range(40)]
+    sets = [np.array(s[: len(s) - (i % 3)], np.uint64) for i, s in enumerate(sets)]
+    table = [(similar.set_key(s), i, len(s), [1]) for i, s in enumerate(sets)]
+    members = spark.createDataFrame(table, "key binary, node long, size long, bands array<long>")
+    runs = spark.createDataFrame([(i, similar.set_key(s), s.tobytes()) for i, s in enumerate(sets)], "node long, key binary, runs binary")
+    out = similar.similar_components(members, lambda nodes: runs.join(nodes, "node", "left_semi").drop("node"), 0.8)
+    wanted = similar.united(sets, np.arange(len(sets)), 0.8).tolist()
+    assert {r.node: r.node if r.component is None else r.component for r in out.collect()} == dict(enumerate(wanted)) and len(set(wanted)) == 21
