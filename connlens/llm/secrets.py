@@ -2,8 +2,8 @@
 
 Three kinds follow fixed patterns: values assigned to names of secrets, access keys, and long hexadecimal strings. The fourth, random,
 is found by token efficiency: a long run of characters as in base 64 counts if a tiktoken vocabulary needs many tokens for it, since
-the vocabulary holds what texts repeat and random strings repeat nothing. Left out are digests (known ones, and hexadecimal runs,
-which the third kind judges), identifiers (UUIDs, runs whose parts are words or numbers), and what overlaps a span of another kind.
+the vocabulary holds what texts repeat and random strings repeat nothing: words in one case or put together have long tokens, random
+letters don't. Left out are known digests, UUIDs, runs of digits alone, and what overlaps a span of another kind.
 
 Every text is scanned whole in the task that reads it; nothing is shuffled or broadcast but the vocabulary file.
 
@@ -34,8 +34,7 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{32,}")
 RUN = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
 UUID = re.compile(r"[0-9A-Fa-f]{8}(?:-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}")
-#: A part of an identifier: a word in one case or with a capital, or a number.
-PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|[0-9]+")
+SIGNS = str.maketrans("", "", "_-/+=")
 NAMES = ("passw", "secret", "token", "api")
 #: Letters, digits and signs in a row that a word could not hold.
 SHORTEST_RUN = 20
@@ -51,18 +50,8 @@ class Efficiency:
 
 
 def _is_identifier(run: str) -> bool:
-    """Words or numbers put together: few parts for its length, each of some length."""
-    if UUID.fullmatch(run):
-        return True
-    letters = run.replace("_", "").replace("-", "").replace("/", "").replace("+", "").replace("=", "")
-    if letters.isdigit() or letters.islower() and letters.isalpha() or letters.isupper() and letters.isalpha():
-        return True
-    parts = PART.findall(run)
-    return bool(parts) and sum(map(len, parts)) / len(parts) >= 4
-
-
-def _is_digest(run: str) -> bool:
-    return len(run) in (32, 40, 56, 64, 96, 128) and all(c in "0123456789abcdefABCDEF" for c in run)
+    """A UUID, or a number. Words are left to the ratio."""
+    return bool(UUID.fullmatch(run)) or run.translate(SIGNS).isdigit()
 
 
 class Scanner:
@@ -73,7 +62,7 @@ class Scanner:
         self.how = how
 
     def _random(self, run: str) -> bool:
-        if run in self.how.known or _is_digest(run) or _is_identifier(run):
+        if run in self.how.known or _is_identifier(run):
             return False
         return len(run) < self.how.ratio * len(self.encoding.encode_ordinary(run))
 
