@@ -7,9 +7,9 @@ graph by blocks and the network are on the driver; their size doesn't depend on
 
 Index. The network sends every row to its most probable partition, and each query to as many of the most probable as have
 `mass` of the probability together and more than `k` rows; `mass` is the least of a few values with which neighbours within the sample reach `wanted` recall.
-Partitions are divided into blocks of about `block` rows by digest of vec_id, and so are the queries of a partition, so that
-a partition that holds a third of all rows is many tasks. A task reranks one block of queries against one block of rows in
-double precision and returns the nearest `k` of each query; these are ranked by query.
+Rows that repeat an id with its vector are dropped first. Partitions are divided into blocks of about `block` rows by digest of vec_id and
+vector, and so are the queries of a partition, so that a partition, or an id, that holds a third of all rows is many tasks. A task reranks one block of queries against one block of rows in
+double precision and returns the nearest `k` ids of each query, each with its best score; these are ranked by query.
 
 Nothing is broadcast but the network. Recall is measured against brute force in the tests and given in the README.
 
@@ -181,13 +181,15 @@ def nearest(ids: np.ndarray, x: np.ndarray, qids: np.ndarray, q: np.ndarray, k:
     """query ids, ids and scores of the k nearest of `x` to each row of `q`, by score, then id."""
     order = np.argsort(ids, kind="stable")
     ids, x = ids[order], x[order]
+    first_rows = np.flatnonzero(np.append(True, ids[1:] != ids[:-1]))  # of each id
     out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
     for start in range(0, len(q), 512):
         part, names = q[start : start + 512], qids[start : start + 512]
         scores = part @ x.T
         scores[names[:, None] == ids] = -np.inf
-        keep = min(k, len(ids))
-        least = np.partition(scores, len(ids) - keep, axis=1)[:, len(ids) - keep]
+        best = np.maximum.reduceat(scores, first_rows, axis=1) if len(first_rows) < len(ids) else scores
+        keep = min(k, len(first_rows))
+        least = np.partition(best, len(first_rows) - keep, axis=1)[:, len(first_rows) - keep]
         # All that rounding could bring among the nearest, scored again in one fixed way.
         row, col = np.nonzero((scores >= (least - 1e-9 * (1 + np.abs(least)))[:, None]) & np.isfinite(scores))
         exact = np.concatenate([np.zeros(0), *((part[row[i : i + 50_000]] * x[col[i : i + 50_000]]).sum(axis=1) for i in range(0, len(row), 50_000))])
@@ -222,7 +224,7 @@ def _blocks(routed: DataFrame, block: int, parts: int) -> tuple[Column, dict[int
         sizes[p] = n
     counts = {p: -(-n // block) for p, n in enumerate(sizes.tolist()) if n}
     number = F.element_at(F.create_map(*(F.lit(x) for pair in counts.items() for x in pair)), F.col("part")) if counts else F.lit(1)
-    return F.pmod(F.xxhash64("vec_id"), number.cast("long")).cast("int"), counts, sizes
+    return F.pmod(F.xxhash64("vec_id", "vector"), number.cast("long")).cast("int"), counts, sizes
 
 
 def _spread(counts: dict[int, int]) -> Column:
@@ -245,9 +247,9 @@ def search(vectors: DataFrame, how: Index | None = None, vec_id: str = "vec_id",
     valid = valid.filter(F.size("vector") == width)
     router = learned(_sample(valid, how.sample, widths["count"] if widths else 0, width), how)
     schema = "part int, vec_id long, vector array<double>"
-    rows = written(valid.mapInArrow(_route(router, width), schema), "ann-rows")
+    rows = written(valid.distinct().mapInArrow(_route(router, width), schema), "ann-rows")
     row_block, row_counts, sizes = _blocks(rows, how.block, len(router.b2))
-    asked = valid.filter(F.col("vec_id") % how.every == 0)
+    asked = rows.filter(F.col("vec_id") % how.every == 0).select("vec_id", "vector")
     queries = written(asked.mapInArrow(_route(router, width, sizes, how.k), schema), "ann-queries")
     query_block, query_counts, _ = _blocks(queries, how.block, len(router.b2))
     left = rows.withColumn("row_block", row_block).withColumn("query_block", _spread(query_counts))
