@@ -1,6 +1,6 @@
 """Texts that are a known licence, by digest of their canonical form.
 
-The canonical form is lower case, without copyright lines, with anything but letters and numbers as one blank, and with one spelling
+The canonical form is lower case, without copyright notices (lines that begin as one; not lines of a licence's body that a wrap begins with the word), with anything but letters and numbers as one blank, and with one spelling
 where licences differ. The digests of known licences are made by the same expressions from the texts below; whole texts
 join them by hash. Known licences are a parameter of fixed size and are broadcast; texts stay where they are read.
 
@@ -125,13 +125,20 @@ SPELLINGS = (
 #: Words that licences write as one, with a hyphen or as two.
 TOGETHER = (("sub license", "sublicense"), ("non infringement", "noninfringement"), ("non commercial", "noncommercial"), ("copy right", "copyright"))
 
+#: Of the SQL below, which tells the same only where no line of a licence's body begins with these words.
 COPYRIGHT_LINE = r"(?m)^[^\p{L}\p{N}\n]*(copyright|\(c\)|©|all rights reserved)[^\n]*$"
+#: Words after "copyright" in the body of a licence, at any wrap.
+BODY = "notices?|holders?|owners?|laws?|interests?|licen[cs]e[sd]?|statements?|and|or|in|to|of|is|are|on|for|as|by|that|which|with|claims?|rights?|protection|act"
+NOTICE = (
+    r"(?m)^[^\p{L}\p{N}\n]*(copyright[^\p{L}\p{N}\n]*(\(c\)|©|[0-9])|copyright[^\p{L}\p{N}\n]+(?!(" + BODY + r")\b)\p{L}"
+    r"|\(c\)[^\p{L}\p{N}\n]*(copyright|[12][0-9]{3})|©|all rights reserved)[^\n]*$"
+)
 OTHER = r"[^\p{L}\p{N}]+"
 
 
 def canonical(text: Column) -> Column:
     """Words of the canonical form, with a blank between them."""
-    plain = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), COPYRIGHT_LINE, " ")
+    plain = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), NOTICE, " ")
     plain = F.regexp_replace(plain, OTHER, " ")
     for apart, one in TOGETHER:
         plain = F.replace(plain, F.lit(apart), F.lit(one))
