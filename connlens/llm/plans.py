@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from connlens.llm import bpe, licences, mixing, neighbours, quality, secrets, simhash, substrings, tokenfiles, urls
+from connlens.llm import bpe, licences, manifest, mixing, neighbours, quality, secrets, simhash, substrings, tokenfiles, toxicity, urls, whitening
 from connlens.sources.storage import read_table
 
 
@@ -50,6 +51,19 @@ def op10_repeated_passages(spark: SparkSession, folder: str) -> DataFrame:
     return substrings.without_repeats(read_table(spark, folder, "documents"))
 
 
+def op11_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    return manifest.proofs(read_table(spark, folder, "documents"))
+
+
+def op12_embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    rows = whitening.whitened(read_table(spark, folder, "embeddings"))
+    return rows.withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
+def op13_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.judged(read_table(spark, folder, "documents"), read_table(spark, folder, "labels"))
+
+
 QUERIES = {
     "op1_bpe_round_trip": op1_bpe_round_trip,
     "op2_licence_scan": op2_licence_scan,
@@ -61,6 +75,9 @@ QUERIES = {
     "op8_simhash_components": op8_simhash_components,
     "op9_quality_rules": op9_quality_rules,
     "op10_repeated_passages": op10_repeated_passages,
+    "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_embedding_whitening": op12_embedding_whitening,
+    "op13_toxicity": op13_toxicity,
 }
 ORACLES: dict[str, str] = {
     "op2_licence_scan": licences.ORACLE,
@@ -68,4 +85,5 @@ ORACLES: dict[str, str] = {
     "op4_source_mix": mixing.ORACLE,
     "op9_quality_rules": quality.ORACLE,
     "op10_repeated_passages": substrings.ORACLE,
+    "op11_merkle_manifest": manifest.ORACLE,
 }
