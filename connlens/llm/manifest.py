@@ -220,7 +220,7 @@ def _path_sql(name: str, leaves: str, tree: str) -> str:
 
 
 ORACLE = (
-    f"WITH RECURSIVE hit AS (SELECT *, CASE WHEN {_CRC} % 7 = 0 THEN n_chars + 1 ELSE n_chars END AS altered_chars FROM documents), "
+    f"WITH RECURSIVE hit AS (SELECT *, CASE WHEN doc_id IS NOT NULL AND {_CRC} % 7 = 0 THEN n_chars + 1 ELSE n_chars END AS altered_chars FROM documents), "
     "leaf AS (SELECT doc_id, lang, CASE WHEN lang IS NULL THEN '-' ELSE concat('=', lang) END AS tree, "
     f"{_leaf_sql('n_chars')} AS digest, {_leaf_sql('altered_chars')} AS altered FROM hit), "
     "low AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, digest) - 1 AS place, "

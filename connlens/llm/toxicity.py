@@ -47,7 +47,7 @@ STEP = 0.05
 SHRINK = 1e-5
 SEED = 13
 #: Words whose buckets a worker remembers.
-REMEMBERED = 200_000
+REMEMBERED = 50_000
 
 _WORD = re.compile(r"[^\W\d_]+")
 _SCORED = "doc_id long, held_out boolean, score double"
@@ -85,7 +85,7 @@ def held_out(doc_id: str = "doc_id") -> Column:
 
 def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        found = [sorted({str(b) for w in words(t) for b in buckets(w)}) for t in batch.column("text").to_pylist()]
+        found = [sorted({str(b) for w in words(t.as_py()) for b in buckets(w)}) for t in batch.column("text")]
         yield pa.RecordBatch.from_arrays([batch.column("label"), pa.array(found, pa.list_(pa.string()))], names=["label", "terms"])
 
 
@@ -133,9 +133,9 @@ def scored(docs: DataFrame, model: Machine | float) -> DataFrame:
         machine, known = shared.value, {}
         for batch in batches:
             margins = []
-            for text in batch.column("text").to_pylist():
+            for text in batch.column("text"):
                 found = set()
-                for word in words(text):
+                for word in words(text.as_py()):
                     places = known.get(word)
                     if places is None:
                         if len(known) >= REMEMBERED:
