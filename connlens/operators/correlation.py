@@ -3,7 +3,8 @@
 Both matrices need one cross-product sum per pair of columns. Each task adds up the d x d sums of
 its own rows with one matrix product per Arrow batch; Spark then adds the d x d results of the
 tasks. For rank correlation the ranks come from value counts, never from a sort of all rows, so
-a value that fills a third of a column is one row of the count table.
+a value that fills a third of a column is one row of the count table. Rows travel in blocks: a block
+asks once for the rank of each value that it holds, in any column, and gets all answers back at once.
 """
 
 from __future__ import annotations
@@ -12,22 +13,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from connlens.sources.storage import cut_lineage
+from connlens.sources.storage import cut_lineage, new_scratch_path, write_result
 from connlens.sources.tables import spread_if_few
 
-# Rank tables of columns with fewer distinct values are sent to all tasks (16 bytes per value) ...
-SMALL_COLUMN = 200_000
-# ... as long as together they hold no more than this many values (about 80 MB).
-SMALL_TOTAL = 5_000_000
-# Rows of one value in one join key. A value with more is spread over several keys.
-BLOCK_ROWS = 1_000_000
+# Values in one block of rows (8 bytes each).
+BLOCK_CELLS = 1_000_000
 
 _SUMS = "a int, b int, total double"
-_COUNTS = "feature int, value double, n long"
+_BLOCKS = "block long, x binary"
+_ASKED = "block long, feature int, value double, n long"
 
 
 def _vectors(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -78,18 +77,15 @@ def _matrix(sums: DataFrame, columns: list[str]) -> DataFrame:
     )
 
 
-def _cross_sums(rows: DataFrame, centre: list[float], ranks=None) -> DataFrame:
+def _cross_sums(rows: DataFrame, centre: list[float]) -> DataFrame:
     """Sum over the rows of weight * (x_a - centre_a) * (x_b - centre_b) for every a <= b.
 
     A constant 1 stands behind the columns, so that the sums also hold counts and plain sums.
-    ``ranks`` is a broadcast {position: (sorted values, their ranks)} for the columns still
-    holding plain values.
     """
     size = len(centre)
     middle = np.array(centre)
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables = ranks.value if ranks is not None else {}
         sums = np.zeros((size + 1, size + 1))
         for batch in batches:
             x = batch.column("x").flatten().to_numpy(zero_copy_only=False)
@@ -97,8 +93,6 @@ def _cross_sums(rows: DataFrame, centre: list[float], ranks=None) -> DataFrame:
             complete = ~np.isnan(x).any(axis=1)  # nulls arrive as NaN
             x = x[complete]
             weight = batch.column("weight").to_numpy(zero_copy_only=False)[complete]
-            for position, (known, rank) in tables.items():
-                x[:, position] = rank[np.searchsorted(known, x[:, position])]
             x = np.column_stack([x - middle, np.ones(len(x))])
             sums += x.T @ (x * weight[:, None])
         a, b = np.triu_indices(size + 1)
@@ -124,36 +118,71 @@ def pearson_matrix(df: DataFrame, columns: list[str]) -> DataFrame:
     return _matrix(_cross_sums(_vectors(df, columns), [m or 0.0 for m in means]), columns)
 
 
-def _value_counts(rows: DataFrame, size: int) -> DataFrame:
-    """(feature, value, n) of the complete rows; each Arrow batch is counted before the shuffle."""
+def _blocks(rows: DataFrame, size: int, cells: int) -> DataFrame:
+    """(block, x): the complete rows as matrices of ``cells`` numbers at most, written once.
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    All later steps read the written blocks, so that they agree on them when executors are lost.
+    """
+    most = max(1, cells // size)
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, held = TaskContext.get().partitionId() << 33, np.empty((0, size))
         for batch in batches:
-            x = batch.column("x").flatten().to_numpy(zero_copy_only=False)
-            x = x.reshape(batch.num_rows, size)
-            x = x[~np.isnan(x).any(axis=1)] + 0.0  # -0.0 and 0.0 are one value
-            for position in range(size):
-                values, n = np.unique(x[:, position], return_counts=True)
-                features = np.full(len(values), position, dtype=np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(features), pa.array(values), pa.array(n.astype(np.int64))],
-                    names=["feature", "value", "n"],
-                )
+            x = batch.column("x").flatten().to_numpy(zero_copy_only=False).reshape(-1, size)
+            held = np.concatenate([held, x[~np.isnan(x).any(axis=1)] + 0.0])  # -0.0 and 0.0 are one value
+            while len(held) >= most:
+                yield _packed(number, held[:most])
+                number, held = number + 1, held[most:]
+        if len(held):
+            yield _packed(number, held)
+
+    blocks = rows.select("x").mapInArrow(pack, _BLOCKS)
+    return write_result(blocks, new_scratch_path(rows.sparkSession, "blocks"))
+
+
+def _packed(number: int, x: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array([number], pa.int64()), pa.array([x.tobytes()], pa.binary())], names=["block", "x"]
+    )
+
 
-    counted = rows.select("x").mapInArrow(count, _COUNTS)
-    return counted.groupBy("feature", "value").agg(F.sum("n").alias("n"))
+def _unpacked(matrix: bytes, size: int) -> np.ndarray:
+    return np.frombuffer(matrix).reshape(-1, size)
 
 
-def value_ranks(rows: DataFrame, size: int) -> DataFrame:
+def _asked(blocks: DataFrame, size: int) -> DataFrame:
+    """(block, feature, value, n): the distinct values of each column of each block."""
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for number, matrix in zip(batch.column("block").to_pylist(), batch.column("x")):
+                x = _unpacked(matrix.as_py(), size)
+                for position in range(size):
+                    values, n = np.unique(x[:, position], return_counts=True)
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array(np.full(len(values), number)),
+                            pa.array(np.full(len(values), position, dtype=np.int32)),
+                            pa.array(values),
+                            pa.array(n.astype(np.int64)),
+                        ],
+                        names=["block", "feature", "value", "n"],
+                    )
+
+    return blocks.mapInArrow(ask, _ASKED)
+
+
+def value_ranks(asked: DataFrame) -> DataFrame:
     """(feature, value, n, rank): number of rows and average rank of each distinct value.
 
-    ``feature`` is the position in the array ``x``. The distinct values are range-partitioned and
-    written, so that their partition is a fixed range of values: rows before a value are those of
-    the ranges before plus those before it inside its own range.
+    The distinct values are range-partitioned and written, so that their partition is a fixed range
+    of values: rows before a value are those of the ranges before plus those before it inside its
+    own range.
     """
-    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counts = asked.groupBy("feature", "value").agg(F.sum("n").alias("n"))
+    parts = int(asked.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ordered = cut_lineage(
-        _value_counts(rows, size).repartitionByRange(parts, "feature", "value")
+        counts.repartitionByRange(parts, "feature", "value")
     ).withColumn("part", F.spark_partition_id())
     # At most one row per range and column: safe to broadcast and to order in one task.
     ranges = ordered.groupBy("feature", "part").agg(F.sum("n").alias("_size"))
@@ -172,68 +201,50 @@ def value_ranks(rows: DataFrame, size: int) -> DataFrame:
     )
 
 
-def _join_rank(rows: DataFrame, position: int, ranks: DataFrame) -> DataFrame:
-    """Replace the values of one column by their ranks, for a column with many distinct values.
+def _ranked_sums(blocks: DataFrame, answers: DataFrame, size: int, centre: float) -> DataFrame:
+    """The cross-product sums of the ranks: ``answers`` has the rank of every value of every block."""
 
-    A value with many rows is joined under several salts, so that no join key has more than
-    ``BLOCK_ROWS`` rows, whatever the size of the table. At most rows / BLOCK_ROWS values are salted.
-    """
-    ranks = ranks.select("value", "rank", F.ceil(F.col("n") / BLOCK_ROWS).cast("int").alias("salts"))
-    hot = ranks.filter("salts > 1").select("value", "salts")
-    salted = ranks.select(
-        "value", "rank", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt")
-    )
-    salt = F.pmod(F.xxhash64("x"), F.coalesce("salts", F.lit(1))).cast("int")
-    ranked = F.transform("x", lambda v, i: F.when(i == position, F.col("rank")).otherwise(v))
-    return (
-        rows.withColumn("value", F.get("x", F.lit(position)))
-        .join(hot, "value", "left")
-        .withColumn("salt", salt)
-        .join(salted, ["value", "salt"])
-        .select(ranked.alias("x"), "weight")
+    def sums(key, block: pa.Table, answer: pa.Table) -> pa.Table:
+        x = _unpacked(block.column("x")[0].as_py(), size).copy()
+        feature, value, rank = (answer.column(c).to_numpy() for c in ("feature", "value", "rank"))
+        order = np.lexsort((value, feature))
+        ends = np.searchsorted(feature[order], np.arange(size + 1))
+        for position, (start, end) in enumerate(zip(ends, ends[1:])):
+            own = order[start:end]
+            x[:, position] = rank[own][np.searchsorted(value[own], x[:, position])]
+        x = np.column_stack([x - centre, np.ones(len(x))])
+        total = x.T @ x
+        a, b = np.triu_indices(size + 1)
+        return pa.table({"a": pa.array(a, pa.int32()), "b": pa.array(b, pa.int32()), "total": total[a, b]})
+
+    pairs = blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(sums, _SUMS)
+    # A table without complete rows has sums of zero.
+    side = size + 1
+    none = blocks.sparkSession.range(side * side).selectExpr(
+        f"CAST(id DIV {side} AS int) AS a", f"CAST(id % {side} AS int) AS b", "0.0D AS total"
     )
+    return pairs.union(none.filter("a <= b")).groupBy("a", "b").agg(F.sum("total").alias("total"))
 
 
-def spearman_matrix(
-    df: DataFrame,
-    columns: list[str],
-    small_column: int = SMALL_COLUMN,
-    small_total: int = SMALL_TOTAL,
-) -> DataFrame:
+def spearman_matrix(df: DataFrame, columns: list[str], cells: int = BLOCK_CELLS) -> DataFrame:
     """Rank correlation of all pairs of columns; equal values share their average rank.
 
     Rows with a null or NaN in any of the columns are left out of every pair. A table without
     complete rows has null cells only.
 
-    Columns with few distinct values are ranked by lookup inside the task that reads them, the
-    others by a salted join, after equal rows have been merged to one row with a weight.
+    The rows are cut to blocks of ``cells`` values. One exchange takes the distinct values of the
+    blocks to the table of ranks, a second one the ranks to the blocks, for all columns together. A
+    value is asked for once by each block that holds it, however many rows it has.
     """
-    rows = _vectors(df, columns)
-    ranks = cut_lineage(value_ranks(rows, len(columns)))
-    sizes = ranks.groupBy("feature").agg(
-        F.count(F.lit(1)).alias("values"), F.sum("n").alias("rows")
+    size = len(columns)
+    blocks = _blocks(_vectors(df, columns), size, cells)
+    asked = _asked(blocks, size)
+    ranks = write_result(value_ranks(asked), new_scratch_path(df.sparkSession, "ranks"))
+    total = ranks.filter("feature = 0").agg(F.sum("n")).first()[0] or 0
+    answers = asked.join(ranks.select("feature", "value", "rank"), ["feature", "value"]).select(
+        "block", "feature", "value", "rank"
     )
-    small, large, held, total = [], [], 0, 0
-    for size in sizes.orderBy("values").collect():  # one row per column
-        total = size["rows"]
-        if size["values"] <= small_column and held + size["values"] <= small_total:
-            small.append(size["feature"])
-            held += size["values"]
-        else:
-            large.append(size["feature"])
-
-    if large:
-        rows = rows.groupBy("x").agg(F.sum("weight").alias("weight"))
-    for position in large:
-        rows = _join_rank(rows, position, ranks.filter(F.col("feature") == position))
-
-    table = ranks.filter(F.col("feature").isin(small)).toPandas()
-    tables = {}
-    for position, own in table.groupby("feature"):
-        own = own.sort_values("value")
-        tables[int(position)] = (own["value"].to_numpy(), own["rank"].to_numpy())
-    shared = df.sparkSession.sparkContext.broadcast(tables)
-    return _matrix(_cross_sums(rows, [(total + 1) / 2] * len(columns), shared), columns)
+    return _matrix(_ranked_sums(blocks, answers, size, (total + 1) / 2), columns)
 
 
 def high_correlation(matrix: DataFrame, threshold: float = 0.8) -> DataFrame:

@@ -26,18 +26,36 @@ def as_frame(matrix):
     return wide.loc[COLUMNS, COLUMNS].to_numpy(dtype=float)
 
 
-@pytest.mark.parametrize("small", [10**6, 100, 0])
-def test_spearman(spark, numbers, small):
-    """All columns by lookup, some by the salted join, all by the salted join."""
-    got = as_frame(C.spearman_matrix(spark.createDataFrame(numbers), COLUMNS, small_column=small))
-    wanted = numbers.corr("spearman").loc[COLUMNS, COLUMNS].to_numpy()
+@pytest.mark.parametrize("limit", ["10MB", "-1"])
+@pytest.mark.parametrize("cells", [10**6, 100, 1])
+def test_spearman(spark, numbers, limit, cells):
+    """The ranks as a small file and by exchange; large blocks, small ones, one row each."""
+    table = numbers if cells > 1 else numbers.iloc[1100:1300]
+    wanted = table.corr("spearman").loc[COLUMNS, COLUMNS].to_numpy()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    try:
+        got = as_frame(C.spearman_matrix(spark.createDataFrame(table), COLUMNS, cells=cells))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     np.testing.assert_allclose(got, wanted, atol=1e-9)
 
 
-def test_hot_value_is_salted(spark, numbers, monkeypatch):
-    monkeypatch.setattr(C, "BLOCK_ROWS", 100)
-    got = as_frame(C.spearman_matrix(spark.createDataFrame(numbers), COLUMNS, small_column=0))
-    np.testing.assert_allclose(got, numbers.corr("spearman").to_numpy(), atol=1e-9)
+def test_spearman_plan_does_not_grow_with_the_columns(spark, numbers):
+    """The same joins and exchanges for two columns and for four."""
+    plans = []
+    for names in (COLUMNS[:2], COLUMNS):
+        matrix = C.spearman_matrix(spark.createDataFrame(numbers), names)
+        plan = matrix._jdf.queryExecution().executedPlan().toString()
+        plans.append([plan.count(word) for word in ("Exchange", "Join", "FlatMapCoGroupsInArrow")])
+    assert plans[0] == plans[1] and plans[0][2] > 0
+
+
+def test_spearman_of_repeated_rows_and_gaps(spark):
+    rows = [(1.0, 2.0)] * 500 + [(float(i), float(-i)) for i in range(60)] + [(None, 1.0), (1.0, float("nan")), (-0.0, 0.0)]
+    table = spark.createDataFrame(rows, "a double, b double").repartition(3)
+    cells = {(r.feature_a, r.feature_b): r.rho for r in C.spearman_matrix(table, ["a", "b"], cells=50).collect()}
+    wanted = pd.DataFrame(rows, columns=["a", "b"]).dropna().corr("spearman").loc["a", "b"]
+    assert cells["a", "b"] == pytest.approx(wanted)
 
 
 def test_pearson_leaves_incomplete_rows_out(spark, numbers):
