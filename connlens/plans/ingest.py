@@ -16,7 +16,7 @@ from connlens.plans.roles import (
     raw_records,
 )
 from connlens.sources import (
-    cache_table,
+    kept,
     narrow_interactions,
     new_scratch_path,
     parse_fields,
@@ -130,13 +130,14 @@ def _write_result(spark, folder):
 
 
 def _cache_table(spark, folder):
-    rows = cache_table(interactions(spark, folder).select("attack", "duration"))
-    normal = rows.filter("attack = 'normal.'").agg(F.count(F.lit(1)).alias("n"))
-    longest = rows.agg(F.max("duration").cast("long").alias("n"))
-    # The caller reads the counts, so the table stays kept until the session drops it.
-    return normal.select(F.lit("normal").alias("what"), "n").union(
-        longest.select(F.lit("longest"), "n")
-    )
+    """Two queries over one kept table, which is released when both have been written."""
+    with kept(interactions(spark, folder).select("attack", "duration")) as rows:
+        normal = rows.filter("attack = 'normal.'").agg(F.count(F.lit(1)).alias("n"))
+        longest = rows.agg(F.max("duration").cast("long").alias("n"))
+        both = normal.select(F.lit("normal").alias("what"), "n").union(
+            longest.select(F.lit("longest"), "n")
+        )
+        return write_result(both, new_scratch_path(spark, "counts"))
 
 
 def _spread(spark, folder):

@@ -2,10 +2,16 @@
 
 The interaction label is planted (see ``roles``). ``quality`` is the label of supplied documents,
 learnt from ratios of their text; documents with the same text stay on one side of the split.
+
+Queries of models return what SQL can state about them: the held-out rows and their classes, the score of
+always guessing the most frequent label, and whether the model beats it by a margin. ``model_metrics`` has
+the metrics themselves, and the seconds that training took.
 """
 
 from __future__ import annotations
 
+import time
+
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
@@ -15,11 +21,16 @@ from connlens.operators import classifiers as K
 from connlens.operators import evaluation as E
 from connlens.operators import features as Q
 from connlens.plans.roles import KEY, interactions, over_interactions
-from connlens.sources import cut_lineage, read_table
+from connlens.sources import cut_lineage, kept, read_table
 
 TEST_FRACTION = 0.2
 SEED = 7
 RATIOS = ["punctuation_ratio", "distinct_word_ratio"]
+#: What the label is planted on.
+PLANTED_NUMBERS, PLANTED_CATEGORIES = ["duration", "rerror_rate"], ["protocol_type"]
+MAJORITY = "majority class"
+#: By how much a model must beat the majority's accuracy.
+TREE_MARGIN, FOREST_MARGIN, LINEAR_MARGIN, QUALITY_MARGIN = 0.3, 0.2, 0.1, 0.02
 
 
 def _labelled(spark, folder):
@@ -32,6 +43,15 @@ def _numbers(categories: list[str], group: str) -> list[str]:
 
 
 INDEXED_NUMBERS = _numbers(CATEGORIES, "all_indexed")
+COMPARED_MARGINS = {
+    "logistic, numeric": LINEAR_MARGIN,
+    "logistic, uncorrelated": LINEAR_MARGIN,
+    "logistic, chi_selected": LINEAR_MARGIN,
+    "decision tree": TREE_MARGIN,
+    "random forest": FOREST_MARGIN,
+    "gradient boosting": TREE_MARGIN,
+    "linear svm": LINEAR_MARGIN,
+}
 
 
 def _sides(rows):
@@ -47,30 +67,49 @@ def _documents(spark, folder):
     return Q.hash_split(rows, "text_hash", 0.5, SEED)
 
 
-def _compared(models, train, test):
-    """Metrics of the models and of always guessing the most frequent label, from one scoring."""
+def _metrics(models, train, test):
+    """Metrics of the models and of always guessing the most frequent label."""
     majority = E.majority_class(train, test)
     scored = K.predictions(models, test).unionByName(
-        majority.select(F.lit("majority class").alias("model"), "label", "prediction")
+        majority.select(F.lit(MAJORITY).alias("model"), "label", "prediction")
     )
     return E.model_comparison(scored)
 
 
+def _checked(models, train, test, margins):
+    """(model, n, majority_accuracy, margin, beaten): is the majority's accuracy beaten by the margin?"""
+    metrics = cut_lineage(_metrics(models, train, test))  # one row per model
+    majority = metrics.filter(F.col("model") == MAJORITY).select("accuracy").first()
+    # Without held-out rows there is no majority to beat.
+    base = F.lit(majority[0] if majority else None).cast("double")
+    margin = F.element_at(F.create_map(*[F.lit(v) for pair in margins.items() for v in pair]), F.col("model"))
+    return metrics.filter(F.col("model") != MAJORITY).select(
+        "model",
+        "n",
+        F.round(base, 6).alias("majority_accuracy"),
+        margin.alias("margin"),
+        (F.col("accuracy") >= base + margin).alias("beaten"),
+    )
+
+
 def _logistic(group):
     def query(spark, folder):
         train, test = map(cut_lineage, _sides(_labelled(spark, folder)))
         columns = FEATURE_GROUPS[group]
-        models = {
-            f"logistic, {group}": K.logistic_regression(train, columns),
-            f"logistic with intercept, {group}": K.logistic_regression(
-                train, columns, intercept=True
-            ),
-        }
-        return _compared(models, train, test)
+        with kept(train.select("label", *columns)) as rows:
+            models = {
+                f"logistic, {group}": K.logistic_regression(rows, columns),
+                f"logistic with intercept, {group}": K.logistic_regression(rows, columns, intercept=True),
+            }
+        return _checked(models, train, test, _logistic_margins(group))
 
     return query
 
 
+def _logistic_margins(group):
+    return {f"logistic, {group}": LINEAR_MARGIN, f"logistic with intercept, {group}": LINEAR_MARGIN}
+
+
 def _assemble_vector(spark, folder):
     rows = interactions(spark, folder).select("service", "duration", "src_bytes", "urgent")
     vectors = Q.assemble_vector(rows, ["duration", "src_bytes", "urgent"])
@@ -110,25 +149,28 @@ def _tree(spark, folder, label):
 
 def _decision_tree(spark, folder):
     model, train, test = _tree(spark, folder, "binary")
-    return _compared({"decision tree": model}, train, test)
+    return _checked({"decision tree": model}, train, test, {"decision tree": TREE_MARGIN})
 
 
 def _decision_tree_multi(spark, folder):
     model, train, test = _tree(spark, folder, "multi")
-    return _compared({"decision tree, all labels": model}, train, test)
+    return _checked({"decision tree, all labels": model}, train, test, {"decision tree, all labels": TREE_MARGIN})
 
 
 def _tree_rules(spark, folder):
-    model, train, _ = _tree(spark, folder, "binary")
-    return K.tree_rules(model, train)
+    """The splits of a tree over the fields that the label was planted on."""
+    train, _ = map(cut_lineage, _sides(_labelled(spark, folder)))
+    model = K.decision_tree(train, PLANTED_NUMBERS, PLANTED_CATEGORIES)
+    rules = K.tree_rules(model, train).filter("feature IS NOT NULL")
+    return rules.select("feature", F.round("threshold", 6).alias("threshold")).distinct()
 
 
-def _two_tasks(name, fit):
+def _two_tasks(name, fit, margin):
     def query(spark, folder):
         train, test = map(cut_lineage, _sides(_labelled(spark, folder)))
-        planted = _compared({name: fit(train, INDEXED_NUMBERS, CATEGORIES)}, train, test)
+        planted = _checked({name: fit(train, INDEXED_NUMBERS, CATEGORIES)}, train, test, {name: margin})
         train, test = map(cut_lineage, _documents(spark, folder))
-        quality = _compared({name: fit(train, RATIOS, ["lang"])}, train, test)
+        quality = _checked({name: fit(train, RATIOS, ["lang"])}, train, test, {name: QUALITY_MARGIN})
         return planted.select(F.lit("planted").alias("task"), "*").union(
             quality.select(F.lit("document quality"), "*")
         )
@@ -138,7 +180,8 @@ def _two_tasks(name, fit):
 
 def _predict(spark, folder):
     """Every row, held out or not, with its key and label; whether training saw it is marked."""
-    model, _, _ = _tree(spark, folder, "binary")
+    train, _ = map(cut_lineage, _sides(_labelled(spark, folder)))
+    model = K.decision_tree(train, PLANTED_NUMBERS, PLANTED_CATEGORIES)
     rows = _labelled(spark, folder)
     return K.predict(model, rows, KEY).withColumn(
         "held_out", in_hash_sample(KEY, TEST_FRACTION, SEED)
@@ -146,7 +189,9 @@ def _predict(spark, folder):
 
 
 def _align_predictions(spark, folder):
-    model, _, test = _tree(spark, folder, "multi")
+    rows = Q.encode_label_multi(_labelled(spark, folder).drop("label"))
+    train, test = map(cut_lineage, _sides(rows))
+    model = K.decision_tree(train, PLANTED_NUMBERS, PLANTED_CATEGORIES)
     return E.confusion(K.predict(model, test))
 
 
@@ -171,18 +216,52 @@ def _classification_metrics(spark, folder):
     return metrics.select(*[F.round(c, 6).alias(c) for c in E.METRICS], "n")
 
 
-def _model_comparison(spark, folder):
-    train, test = map(cut_lineage, _sides(_labelled(spark, folder)))
-    models = {
-        "logistic, numeric": K.logistic_regression(train, FEATURE_GROUPS["numeric"]),
-        "logistic, uncorrelated": K.logistic_regression(train, FEATURE_GROUPS["uncorrelated"]),
-        "logistic, chi_selected": K.logistic_regression(train, FEATURE_GROUPS["chi_selected"]),
-        "decision tree": K.decision_tree(train, INDEXED_NUMBERS, CATEGORIES),
-        "random forest": K.random_forest(train, INDEXED_NUMBERS, CATEGORIES),
-        "gradient boosting": K.gradient_boosting(train, INDEXED_NUMBERS, CATEGORIES),
-        "linear svm": K.linear_svm(train, INDEXED_NUMBERS, CATEGORIES),
+def _all_models(rows):
+    """(models, seconds): every model on the same kept rows; trees share their category groups."""
+    shared = K.tree_features(rows, INDEXED_NUMBERS, CATEGORIES)
+    fits = {
+        **{
+            f"logistic, {group}": lambda g=group: K.logistic_regression(rows, FEATURE_GROUPS[g])
+            for group in ("numeric", "uncorrelated", "chi_selected")
+        },
+        "decision tree": lambda: K.decision_tree(rows, INDEXED_NUMBERS, CATEGORIES, stages=shared),
+        "random forest": lambda: K.random_forest(rows, INDEXED_NUMBERS, CATEGORIES, stages=shared),
+        "gradient boosting": lambda: K.gradient_boosting(rows, INDEXED_NUMBERS, CATEGORIES, stages=shared),
+        "linear svm": lambda: K.linear_svm(rows, INDEXED_NUMBERS, CATEGORIES),
     }
-    return _compared(models, train, test)
+    models, seconds = {}, {}
+    for name, fit in fits.items():
+        start = time.perf_counter()
+        models[name] = fit()
+        seconds[name] = time.perf_counter() - start
+    return models, seconds
+
+
+def _fitted(spark, folder):
+    train, test = map(cut_lineage, _sides(_labelled(spark, folder)))
+    with kept(train.select("label", *CATEGORIES, *INDEXED_NUMBERS)) as rows:
+        models, seconds = _all_models(rows)
+    return models, seconds, train, test
+
+
+def _model_comparison(spark, folder):
+    models, _, train, test = _fitted(spark, folder)
+    return _checked(models, train, test, COMPARED_MARGINS)
+
+
+def _model_metrics(spark, folder):
+    """The metrics of every model, with the seconds that its training and its scoring took."""
+    models, seconds, train, test = _fitted(spark, folder)
+    scoring = {}
+    for name, model in models.items():
+        start = time.perf_counter()
+        K.predict(model, test).agg(F.sum("prediction")).first()
+        scoring[name] = time.perf_counter() - start
+    times = spark.createDataFrame(
+        [(name, seconds[name], scoring[name]) for name in models],
+        "model string, training_seconds double, scoring_seconds double",
+    )
+    return _metrics(models, train, test).join(F.broadcast(times), "model", "left")
 
 
 QUERIES = {
@@ -196,14 +275,15 @@ QUERIES = {
     "decision_tree": _decision_tree,
     "decision_tree_multi": _decision_tree_multi,
     "tree_rules": _tree_rules,
-    "random_forest": _two_tasks("random forest", K.random_forest),
-    "gradient_boosting": _two_tasks("gradient boosting", K.gradient_boosting),
-    "linear_svm": _two_tasks("linear svm", K.linear_svm),
+    "random_forest": _two_tasks("random forest", K.random_forest, FOREST_MARGIN),
+    "gradient_boosting": _two_tasks("gradient boosting", K.gradient_boosting, TREE_MARGIN),
+    "linear_svm": _two_tasks("linear svm", K.linear_svm, LINEAR_MARGIN),
     "predict": _predict,
     "align_predictions": _align_predictions,
     "accuracy": _accuracy,
     "classification_metrics": _classification_metrics,
     "model_comparison": _model_comparison,
+    "model_metrics": _model_metrics,
 }
 
 _GUESSED = (
@@ -228,6 +308,49 @@ def _known_sql(name: str, column: str, where: str) -> str:
 
 
 _LOW_TAX = "rerror_rate <= 0.06"
+_BINARY = "CASE WHEN attack = 'normal.' THEN 0.0::DOUBLE ELSE 1.0::DOUBLE END"
+
+
+def _held_sql(key: str, fraction: float) -> str:
+    return f"substr(md5(concat('{SEED}:', {key})), 1, 8) < '{round(fraction * 16**8):08x}'"
+
+
+def _checked_sql(sides: str, margins: dict[str, float]) -> str:
+    """One row per model over ``sides`` (label, test): held-out rows, and how often the commonest label is right."""
+    models = " UNION ALL ".join(f"SELECT '{m}' AS model, {v}::DOUBLE AS margin" for m, v in margins.items())
+    return (
+        f"SELECT model, n, round(hits / n::DOUBLE, 6) AS majority_accuracy, margin, true AS beaten FROM ({models}), "
+        f"(SELECT count(*) AS n, count(*) FILTER (WHERE label = (SELECT label FROM {sides} WHERE NOT test "
+        f"GROUP BY label ORDER BY count(*) DESC, label LIMIT 1)) AS hits FROM {sides} WHERE test)"
+    )
+
+
+def _planted_sql(margins: dict[str, float], label: str = _BINARY) -> str:
+    sides = f"sides AS (SELECT {label} AS label, {_held_sql(KEY, TEST_FRACTION)} AS test FROM interactions)"
+    return over_interactions(f"WITH {sides} {_checked_sql('sides', margins)}")
+
+
+def _two_tasks_sql(model: str, margin: float) -> str:
+    return over_interactions(
+        f"WITH sides AS (SELECT {_BINARY} AS label, {_held_sql(KEY, TEST_FRACTION)} AS test FROM interactions), "
+        f"texts AS (SELECT quality AS label, {_held_sql('md5(text)', 0.5)} AS test FROM documents JOIN labels USING (doc_id)) "
+        f"SELECT 'planted' AS task, * FROM ({_checked_sql('sides', {model: margin})}) UNION ALL "
+        f"SELECT 'document quality' AS task, * FROM ({_checked_sql('texts', {model: QUALITY_MARGIN})})"
+    )
+
+
+def _between_sql(column: str, low: str) -> str:
+    """The middle between the largest value that meets a condition and the smallest that does not."""
+    return (
+        f"SELECT '{column}' AS feature, round((max({column}) FILTER (WHERE {low}) "
+        f"+ min({column}) FILTER (WHERE NOT ({low}))) / 2.0::DOUBLE, 6) AS threshold FROM train"
+    )
+
+
+_NUMBERED = (
+    f"numbered AS (SELECT (dense_rank() OVER (ORDER BY attack) - 1)::DOUBLE AS label, "
+    f"{_held_sql(KEY, TEST_FRACTION)} AS test FROM interactions)"
+)
 
 ORACLES = {
     "assemble_vector": over_interactions(
@@ -267,4 +390,33 @@ ORACLES = {
         "round(sum(actual * CASE WHEN prec + rec > 0 THEN 2 * prec * rec / (prec + rec) "
         "ELSE 0 END) / sum(actual), 6) AS f1, CAST(sum(actual) AS BIGINT) AS n FROM per_class"
     ),
+    "logistic_regression": _planted_sql(_logistic_margins("numeric")),
+    "logistic_uncorrelated": _planted_sql(_logistic_margins("uncorrelated")),
+    "logistic_chi": _planted_sql(_logistic_margins("chi_selected")),
+    "decision_tree": _planted_sql({"decision tree": TREE_MARGIN}),
+    "decision_tree_multi": _planted_sql({"decision tree, all labels": TREE_MARGIN}, "attack"),
+    "random_forest": _two_tasks_sql("random forest", FOREST_MARGIN),
+    "gradient_boosting": _two_tasks_sql("gradient boosting", TREE_MARGIN),
+    "linear_svm": _two_tasks_sql("linear svm", LINEAR_MARGIN),
+    "model_comparison": _planted_sql(COMPARED_MARGINS),
+    # The label's own rule: thresholds lie in the middle between the values on both sides.
+    "tree_rules": over_interactions(
+        f"WITH train AS (SELECT * FROM interactions WHERE NOT {_held_sql(KEY, TEST_FRACTION)}) "
+        + " UNION ALL ".join(
+            [
+                _between_sql("rerror_rate", "rerror_rate <= 0.06"),
+                _between_sql("duration", "duration <= 30"),
+                _between_sql("duration", "duration < 3"),
+                "SELECT 'protocol_type_group' AS feature, 1.5::DOUBLE AS threshold",
+            ]
+        )
+    ),
+    # A tree that has found the rule is right on every row, held out or not.
+    "predict": over_interactions(
+        f"SELECT {KEY}, {_BINARY} AS label, {_BINARY} AS prediction, "
+        f"{_held_sql(KEY, TEST_FRACTION)} AS held_out FROM interactions"
+    ),
+    "align_predictions": over_interactions(
+        f"WITH {_NUMBERED} SELECT label, label AS prediction, count(*) AS n FROM numbered WHERE test GROUP BY label"
+    ),
 }

@@ -18,6 +18,7 @@ from connlens.sources.storage import (
 )
 from connlens.sources.tables import (
     cache_table,
+    kept,
     preview,
     range_source,
     register_view,
@@ -30,6 +31,7 @@ __all__ = [
     "cache_table",
     "clear_scratch",
     "cut_lineage",
+    "kept",
     "narrow_interactions",
     "new_scratch_path",
     "parse_fields",

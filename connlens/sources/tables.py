@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,6 +41,20 @@ def cache_table(df: DataFrame) -> DataFrame:
     return df.persist(StorageLevel.MEMORY_AND_DISK)
 
 
+@contextmanager
+def kept(df: DataFrame) -> Iterator[DataFrame]:
+    """The table, kept in memory or on disk until the block ends, also by an error.
+
+    Results that the block returns must be written or collected inside it: what is read later is
+    computed again.
+    """
+    table = cache_table(df)
+    try:
+        yield table
+    finally:
+        table.unpersist()
+
+
 def spread(df: DataFrame, partitions: int | None = None, *keys: str | Column) -> DataFrame:
     """Set the number of partitions; by default three per core of the running cluster."""
     n = partitions or 3 * df.sparkSession.sparkContext.defaultParallelism

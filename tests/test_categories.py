@@ -25,6 +25,23 @@ def test_more_categories_than_a_driver_would_list(spark):
     assert {r.c_index for r in found.filter("c IS NULL OR c = 'zzz'").collect()} == {150_000.0}
 
 
+@pytest.mark.parametrize("limit", ["10MB", "-1"])
+def test_heavy_categories_are_joined_apart(spark, limit):
+    rows = [("hot",)] * 900 + [("new",)] * 500 + [(None,)] * 700 + [(f"c{i}",) for i in range(300)]
+    table = spark.createDataFrame(rows, "c string").repartition(6)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    try:
+        found = X.encode_categories(table, ["c"], fit_on=table.filter("c <> 'new'"), block=100)
+        got = sorted(((r.c or "", r.c_index) for r in found.collect()))
+        if limit == "-1":
+            joined = found._jdf.queryExecution().executedPlan().toString()
+            assert "SortMergeJoin" in joined and "BroadcastHashJoin" in joined
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    numbers = {c: float(i) for i, c in enumerate(sorted({c for (c,) in rows if c and c != "new"}))}
+    assert got == sorted((c or "", numbers.get(c, 301.0)) for (c,) in rows)
+
+
 @pytest.mark.parametrize("matrix", [C.pearson_matrix, C.spearman_matrix])
 def test_matrices_without_complete_rows(spark, matrix):
     for rows in ([], [(None, 1.0), (float("nan"), 2.0)]):

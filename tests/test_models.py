@@ -62,12 +62,86 @@ def test_unseen_category(spark, sides):
 def test_same_seed_same_forest(sides):
     train, test = sides
     rules = [
-        K.tree_rules(K.random_forest(train, ["u", "v"], ["colour"], trees=3), train).collect()[1:]
+        K.random_forest(train, ["u", "v"], ["colour"], trees=3).stages[-1].toDebugString.split("\n")[1:]
         for _ in range(2)
     ]
     assert rules[0] == rules[1]
 
 
+MODELS = {
+    "tree": K.decision_tree,
+    "deep tree": lambda *a: K.decision_tree(*a, depth=8),
+    "forest": K.random_forest,
+    "boosting": K.gradient_boosting,
+    "svm": K.linear_svm,
+    "logistic": K.logistic_regression,
+    "logistic with intercept": lambda *a: K.logistic_regression(*a, intercept=True),
+}
+
+
+@pytest.mark.parametrize("name", MODELS)
+@pytest.mark.parametrize("classes", [2, 4])
+def test_expressions_equal_the_models(spark, sides, name, classes):
+    if classes == 4 and name not in ("tree", "deep tree", "forest"):
+        pytest.skip("two classes only")
+    train, test = sides
+    noisy = (F.col("label") + F.pmod(F.xxhash64("id"), F.lit(classes))) % classes
+    train, test = (side.withColumn("label", noisy) for side in (train, test))
+    model = MODELS[name](train.filter("colour <> 'green'"), ["u", "v"], ["colour"])
+    odd = test.withColumn("colour", F.when(F.col("id") % 7 == 0, None).otherwise(F.col("colour")))
+    wanted = model.transform(odd).select("id", "prediction").collect()
+    got = K.predict(model, odd, "id").select("id", "prediction").collect()
+    assert len(wanted) == odd.count() and sorted(map(tuple, got)) == sorted(map(tuple, wanted))
+
+
+def test_models_scored_together(sides):
+    train, test = sides
+    shared = K.tree_features(train, ["u", "v"], ["colour"])
+    models = {
+        "tree": K.decision_tree(train, ["u", "v"], ["colour"], stages=shared),
+        "forest": K.random_forest(train, ["u", "v"], ["colour"], stages=shared),
+        "svm": K.linear_svm(train, ["u", "v"], ["colour"]),
+    }
+    scored = K.predictions(models, test)
+    for name, model in models.items():
+        own = scored.filter(F.col("model") == name).select("label", "prediction").collect()
+        assert sorted(map(tuple, own)) == sorted(map(tuple, K.predict(model, test).collect()))
+
+
+def test_rules_recover_what_was_planted(spark):
+    table = spark.range(4000).selectExpr(
+        "CAST(id % 50 AS double) AS u", "CAST(id * 31 % 9 AS double) AS v", "id % 2 AS w",
+        "CASE WHEN id % 50 > 30 THEN 1.0D WHEN id * 31 % 9 >= 7 THEN 2.0D ELSE 0.0D END AS label",
+    )
+    rules = K.tree_rules(K.decision_tree(table, ["u", "v", "w"]), table).collect()
+    assert {(r.feature, r.threshold) for r in rules if r.feature} == {("u", 30.5), ("v", 6.5)}
+    by_node = {r.node: r for r in rules}
+    assert all(r.parent is None or by_node[r.parent].feature for r in rules)
+    assert {r["class"] for r in rules if r.feature is None} == {0.0, 1.0, 2.0}
+
+
+def test_more_categories_than_bins(spark):
+    """200,000 categories train with the bins of a few; rare ones share the group of the unseen."""
+    rows = spark.range(500_000).selectExpr(
+        "CASE WHEN id % 2 = 0 THEN concat('r', id) ELSE concat('c', id % 3000) END AS c", "id",
+    ).withColumn("label", (F.col("c").startswith("c") & (F.crc32("c") % 3 == 0)).cast("double"))
+    assert rows.select("c").distinct().count() > 200_000
+    model = K.decision_tree(rows, ["id"], ["c"])
+    assert model.stages[-1].getOrDefault("maxBins") == K.TREE_BINS
+    assert score(model, rows) > 0.99
+    groups = Q.category_groups(rows, "c", groups=8)
+    assert groups.count() == 1500 and groups.select("group").distinct().count() <= 8
+
+
+def test_groups_follow_the_label_rate(spark):
+    rows = [(c, float(i < n)) for c, n in (("a", 90), ("b", 10), ("c", 50), ("d", 50)) for i in range(100)]
+    rows += [("rare", 1.0)] * 3 + [(None, 1.0)] * 30
+    table = spark.createDataFrame(rows, "c string, label double")
+    found = {r.category: r.group for r in Q.category_groups(table, "c").collect()}
+    assert found == {"b": 1, "c": 2, "d": 2, "a": 3}
+    assert Q.category_groups(table.limit(0), "c").collect() == []
+
+
 def test_metrics_equal_the_evaluator(spark):
     pairs = [(0, 0)] * 50 + [(0, 1)] * 7 + [(1, 1)] * 20 + [(1, 0)] * 9 + [(2, 0)] * 5 + [(3, 3)]
     scored = spark.createDataFrame([(float(a), float(b)) for a, b in pairs],
