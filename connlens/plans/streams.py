@@ -6,11 +6,18 @@ from pyspark.sql import functions as F
 
 from connlens.operators.aggregates import count_by_tag
 from connlens.plans.ingest import raw_lines, written_lines
-from connlens.plans.roles import RAW_LINE, interactions, over_interactions
-from connlens.sources import new_scratch_path, parse_fields, pick_fields, register_view
+from connlens.plans.roles import RAW_LINE, interaction_text, interactions, over_interactions
+from connlens.sources import (
+    new_scratch_path,
+    parse_fields,
+    parse_interactions,
+    pick_fields,
+    register_view,
+)
 from connlens.streaming import (
     await_stream,
     batch_counts,
+    follow_lines,
     lines_to_table,
     query_errors,
     query_results,
@@ -37,6 +44,21 @@ def _stream_lines(spark, folder):
     return count_by_tag(tags, "tag")
 
 
+def _stream_follow(spark, folder):
+    """Records of 42 fields that arrive in two parts; the second run goes on from the checkpoint of the first."""
+    lines = interaction_text(spark, folder)
+    early = F.pmod(F.xxhash64("value"), F.lit(3)) == 0
+    source = new_scratch_path(spark, "follow-input")
+    path, state = new_scratch_path(spark, "follow-table"), new_scratch_path(spark, "follow-state")
+    for part in (early, ~early):
+        lines.filter(part).write.mode("append").text(source)
+        await_stream(lines_to_table(follow_lines(spark, source), path, state, None), TIMEOUT)
+    records = parse_interactions(spark.read.schema("value string").parquet(path))
+    return records.groupBy("attack").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("src_bytes").alias("total_bytes")
+    )
+
+
 def _stream_micro_batch(spark, folder):
     lines = stream_lines(spark, written_lines(spark, folder, "batch-input"), files_per_batch=1)
     path = new_scratch_path(spark, "batch-counts")
@@ -119,6 +141,7 @@ def _stream_errors(spark, folder):
 
 QUERIES = {
     "stream_lines": _stream_lines,
+    "stream_follow": _stream_follow,
     "stream_micro_batch": _stream_micro_batch,
     "stream_lifecycle": _stream_lifecycle,
     "stream_sql": _stream_sql,
@@ -128,6 +151,10 @@ QUERIES = {
 
 ORACLES = {
     "stream_lines": "SELECT l_returnflag AS tag, count(*) AS n FROM lineitem GROUP BY 1",
+    "stream_follow": over_interactions(
+        "SELECT attack, count(*) AS n, CAST(sum(src_bytes) AS BIGINT) AS total_bytes "
+        "FROM interactions GROUP BY attack"
+    ),
     "stream_micro_batch": (
         "SELECT count(*) AS lines, true AS without_gaps, true AS one_row_each FROM lineitem"
     ),

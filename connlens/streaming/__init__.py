@@ -1,3 +1,4 @@
+from connlens.streaming.growing import follow_lines
 from connlens.streaming.lines import (
     await_stream,
     batch_counts,
@@ -11,6 +12,7 @@ from connlens.streaming.queries import query_errors, query_results, start_query_
 __all__ = [
     "await_stream",
     "batch_counts",
+    "follow_lines",
     "lines_to_table",
     "query_errors",
     "query_results",

@@ -65,3 +65,59 @@ def test_batches_follow_files(spark, folders):
     assert R.await_stream(R.batch_counts(stream, sink, state, None), 120)
     counts = spark.read.parquet(sink)
     assert counts.count() == 3 and sum(r.n for r in counts.collect()) == 6
+
+
+def test_one_endless_query_among_ten(spark, folders):
+    register_view(spark.range(10).selectExpr("id", "id % 2 AS odd"), "numbers")
+    endless = "SELECT count(*) AS n FROM range(1000000000000000) WHERE hash(id) % 7 = id % 7 AND sha2(CAST(id AS STRING), 256) > ''"
+    texts = [f"SELECT {i} + count(*) AS n FROM numbers" for i in range(10)]
+    texts[3] = endless
+    (folders[0] / "q.txt").write_text("\n".join(texts) + "\n")
+    query = R.start_query_stream(
+        R.stream_lines(spark, str(folders[0])), folders[1], folders[2], None, at_once=4, time_limit=20
+    )
+    assert R.await_stream(query, 240)
+    rows = {r.query_no: r.row_json for r in R.query_results(spark, folders[1]).collect()}
+    assert rows == {i: f'{{"n":{i + 10}}}' for i in range(10) if i != 3}
+    error = R.query_errors(spark, folders[1]).collect()
+    assert [(e.query_no, e.error, e.query) for e in error] == [(3, "QueryTimeout", endless)]
+
+
+@pytest.mark.parametrize("piece", [1 << 20, 7])
+def test_lines_appended_to_a_file_arrive_once(spark, folders, piece):
+    source, sink, state = folders
+    grown = source / "log.txt"
+    steps = [
+        ("one\ntwo\nthr", ["one", "two"]),
+        ("ee\n", ["three"]),
+        ("", []),
+        ("\nfünf\r\n" + "six " * 20 + "\nunfinished", ["", "fünf", "six " * 20]),
+        ("\n", ["unfinished"]),
+    ]
+    wanted = []
+    for number, (text, lines) in enumerate(steps):
+        with grown.open("ab") as file:
+            file.write(text.encode())
+        if number == 2:
+            (source / "other.txt").write_text("another\n")
+            lines = ["another"]
+        (source / "_hidden").write_text("no\n")
+        # Every step is a restart from the checkpoint.
+        stream = R.follow_lines(spark, str(source), piece)
+        assert R.await_stream(R.lines_to_table(stream, sink, state, None), 120)
+        wanted += lines
+        assert sorted(r.value for r in spark.read.schema("value string").parquet(sink).collect()) == sorted(wanted)
+
+
+def test_a_running_stream_follows_a_file(spark, folders):
+    source, sink, state = folders
+    (source / "log.txt").write_text("a\nb\n")
+    query = R.lines_to_table(R.follow_lines(spark, str(source)), sink, state, "1 second")
+    try:
+        query.processAllAvailable()
+        with (source / "log.txt").open("a") as file:
+            file.write("c\nd")
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    assert sorted(r.value for r in spark.read.schema("value string").parquet(sink).collect()) == ["a", "b", "c"]
