@@ -12,8 +12,8 @@ from connlens.fields import FEATURE_GROUPS, LABEL, NORMAL
 from connlens.functions import binary_label, in_hash_sample
 from connlens.sources.storage import cut_lineage, new_scratch_path, write_result
 
-# Rows of one category in one join key; a category with more is joined by a small table of its own. In a
-# large table a key holds more, so that there are no more than MOST_HEAVY such categories.
+# Rows of one category in one join key; categories with more are joined by a small table of their own, the
+# MOST_HEAVY largest of them. Those left out of it have less than a 10,000th of the rows each.
 BLOCK_ROWS = 1_000_000
 MOST_HEAVY = 10_000
 # Category groups of a column, and what a group is made of.
@@ -89,16 +89,14 @@ def with_lookup(df: DataFrame, column: str, table: DataFrame, block: int = BLOCK
 
     ``table`` should be written, so that Spark knows its size and may send a small one to all tasks.
     Frequency decides how a row finds its entry. Categories that more than ``block`` rows of ``df`` have
-    are counted and their entries, found or not, broadcast: rows / block entries at most. All others are
+    are counted and the entries of the largest, found or not, broadcast: MOST_HEAVY at most. All others are
     joined by exchange; rows without a category, and those that have their entry already, are
-    dealt to that exchange evenly, so that no task gets more than ``block`` rows of one key.
+    dealt to that exchange evenly, so that no task gets more than ``block`` rows, or a 10,000th, of one key.
     """
     others = [c for c in table.columns if c != "category"]
     counts = df.groupBy(F.col(column).alias("category")).agg(F.count(F.lit(1)).alias("_n"))
     counts = counts.filter(F.col("category").isNotNull() & (F.col("_n") > block))
-    counts = write_result(counts, new_scratch_path(df.sparkSession, "heavy"))
-    rows = counts.agg(F.sum("_n")).first()[0] or 0
-    heavy = counts.filter(F.col("_n") > -(-rows // MOST_HEAVY)).join(table, "category", "left")
+    heavy = counts.orderBy(F.desc("_n"), "category").limit(MOST_HEAVY).join(table, "category", "left")
     heavy = heavy.select(
         F.col("category").alias("_heavy"), F.struct(*others).alias("_found")
     )
@@ -142,7 +140,6 @@ def category_groups(
         F.count(F.lit(1)).alias("n"), step.alias("step")
     )
     rates = rates.filter(F.col("n") >= least)
-    rates = write_result(rates, new_scratch_path(df.sparkSession, "rates"))
     steps = rates.groupBy("step").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("categories"))
     # RATE_STEPS rows at most: one task orders them, and they can be broadcast.
     order, every = W.orderBy("step"), W.partitionBy()
