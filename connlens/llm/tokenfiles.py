@@ -6,7 +6,8 @@ segment are counted, their table is shared by its blocks, and each block is an i
 a checksum. A row of the file is a segment with its documents, its table and its blocks, so that each can be read alone; Spark
 commits the files, so that a task that is repeated leaves no second copy. A document is never split between segments.
 
-A worker encodes each different piece of text (`pretokens`) once, as far as its memory of pieces reaches: the library splits at the
+Texts are cut at the added tokens of the file first, as the library does: such a token is one id wherever its string stands. Of the
+rest, a worker encodes each different piece (`pretokens`) once, as far as its memory of pieces reaches: the library splits at the
 same borders, and pieces without white space reach it many at a time, with line feeds between them.
 
 Reading. Segments are decoded block by block, in parallel. Where a document starts follows from the ids before it in its segment, the
@@ -14,12 +15,14 @@ ids before the segment in its shard, and the sums of the shards before.
 
 A task holds one segment, or a longer document, and one slice of texts. Broadcast is the tokenizer.
 
-Defined results: a null or empty text has the end id alone; strings of special tokens in a text are ordinary text; repeated ids
-are repeated documents; an empty table gives an empty table; extra columns don't matter.
+Defined results: a null or empty text has the end id alone; a string of a special token in a text is that token's id; added tokens that
+take blanks beside them or need word borders are refused; repeated ids are repeated documents; an empty table gives an empty table; extra columns don't matter.
 """
 
 from __future__ import annotations
 
+import json
+import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -75,7 +78,12 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(description)
-        self.tokenizer.encode_special_tokens = True
+        added = json.loads(description).get("added_tokens") or []
+        if any(t["lstrip"] or t["rstrip"] or t["single_word"] for t in added):
+            raise ValueError("added tokens that look at what stands beside them are not supported")
+        self.added = {t["content"]: t["id"] for t in added}
+        # Of tokens that begin at the same place the longest counts.
+        self.cut = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")") if added else None
         self.classes = classes
         self.feed = self._ids("\n")
         self.known = Memo(self._new, KNOWN_PIECES)
@@ -102,6 +110,19 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids in order, and the number of ids of each text."""
+        if self.cut is None or not any(map(self.cut.search, texts)):
+            return self._plain(texts)
+        rows = [self.cut.split(t) for t in texts]  # an added token stands at each odd place
+        marks = np.array([i % 2 for row in rows for i in range(len(row))], np.int64)
+        parts = [p for row in rows for p in row]
+        ids, counts = self._plain(["" if mark else p for p, mark in zip(parts, marks.tolist(), strict=True)])
+        found = [self.added[parts[i]] for i in np.flatnonzero(marks).tolist()]
+        ids = np.insert(ids, np.cumsum(counts)[marks == 1], found)
+        starts = np.cumsum([0, *map(len, rows[:-1])])
+        return ids, np.add.reduceat(counts + marks, starts)
+
+    def _plain(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same for texts without added tokens."""
         pieces, counts = pretokens.pieces(texts, self.classes)
         if len(pieces) == 0:
             return np.zeros(0, np.int32), counts
