@@ -77,9 +77,13 @@ class Scanner:
         # Every long run lies within something without white space that is as long.
         if max(map(len, text.split()), default=0) >= SHORTEST_RUN:
             out += [(m.start(), 2, m.end()) for m in HEX.finditer(text)]
-            base = list(out)
+            # Runs and the other spans are walked together, so that time grows with the text. `upto` is the furthest end
+            # of the spans that begin before the run ends.
+            base, i, upto = sorted(out), 0, 0
             for m in RUN.finditer(text):
-                if not any(s < m.end() and m.start() < e for s, _, e in base) and self._random(m[0]):
+                while i < len(base) and base[i][0] < m.end():
+                    i, upto = i + 1, max(upto, base[i][2])
+                if upto <= m.start() and self._random(m[0]):
                     out.append((m.start(), 3, m.end()))
         return sorted(out)
 

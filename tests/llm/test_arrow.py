@@ -106,13 +106,14 @@ def test_table_has_all_slots():
 
 def token_rows(rows):
     tokenizer = Tokenizer.from_file(JSON)
-    tokenizer.encode_special_tokens = True
     return [(i, [*tokenizer.encode(t or "", add_special_tokens=False).ids, 2]) for i, t in rows]
 
 
 @pytest.mark.parametrize("how", [tokenfiles.Format(), tokenfiles.Format(segment=2_000, block=700, lanes=64)])
 def test_token_files(spark, tmp_path, how):
     rows = [*((r[0], r[1]) for r in documents()), (77, "It's a <|endoftext|> 'test'll\n\n do\r\n"), (78, "x\n y　 z" * 50)]
+    rows += [(79, "<|endoftext|>"), (80, "x<|endoftext|>y"), (81, "a  <|endoftext|>\n <|endoftext|><|endoftext|>  b <|endoftext"), (82, " <|endoftext|> ")]
+    rows += [(79, "<|endoftext|>"), (80, "x<|endoftext|>y"), (81, "a  <|endoftext|>\n <|endoftext|><|endoftext|>  b <|endoftext"), (82, " <|endoftext|> ")]
     table = spark.createDataFrame([(*r, 1, "b") for r in rows], "doc_id long, text string, shard int, blocks string").repartition(4)
     tokenfiles.write(table, f"{tmp_path}/ids", JSON, how)
     wanted = token_rows(rows)
@@ -314,3 +315,15 @@ def test_long_texts_in_pieces(spark, monkeypatch):
     whole = substrings._Block([words], substrings.Windows())
     counts = Counter(dict(zip(whole.anchor.tolist(), whole.cell.tolist(), strict=True)).values())
     assert {c for c, n in counts.items() if n > 1} <= set(cells)
+
+
+def test_time_of_spans_grows_with_the_text():
+    scanner = secrets._scanner((RANKS, public_tokenizers.PATTERN, secrets.Efficiency()), type("Shared", (), {"value": open(RANKS, "rb").read()}))
+    rng = np.random.default_rng(11)
+    line = lambda: "api_key=" + "".join(rng.choice(list("abcdefghijklmnop0123456789"), 12)) + " " + "".join(rng.choice(list("ABCdefGHI0123"), 24)) + " "
+    text = "".join(line() for _ in range(300))
+    one, many = scanner.spans(text), scanner.spans(text * 3)
+    assert many == [(s + k * len(text), kind, e + k * len(text)) for k in range(3) for s, kind, e in one]
+    base = [x for x in many if x[1] < 3]
+    for s, _, e in (x for x in many if x[1] == 3):
+        assert not any(a < e and s < b for a, _, b in base)
