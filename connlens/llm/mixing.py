@@ -10,10 +10,10 @@ lies below the source's cutoff take one more. The cutoff is where the sizes of d
 A range on the border is taken if that comes nearer to the target.
 
 Sizes are counted once and written with the keys to the shared folder; no text is shuffled. Reruns give the same rows, as digests
-depend on the seed and doc_id alone.
+depend on the seed, doc_id and text alone. Rows that share an id but not the text have digests of their own.
 
 Defined results: a null text has size 0 and takes 0 words; an empty source has target 0; a null source is a source of its own;
-rows that repeat a doc_id are counted each, and are taken alike; an empty table gives an empty table. Extra columns are kept by
+rows that repeat doc_id and text are counted each, and are taken alike; an empty table gives an empty table. Extra columns are kept by
 `mixed` and ignored by `takes`.
 """
 
@@ -45,8 +45,9 @@ def _key(source: Column) -> Column:
     return F.coalesce(F.concat(F.lit("0"), source), F.lit("1"))
 
 
-def _digest(doc_id: Column, seed: str) -> Column:
-    return F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(doc_id.cast("string"), F.lit("null")))), 1, 4)
+def _digest(doc_id: Column, text: Column, seed: str) -> Column:
+    name = F.coalesce(doc_id.cast("string"), F.lit("null"))
+    return F.substring(F.md5(F.concat(F.lit(f"{seed}:"), name, F.lit(":"), F.coalesce(text, F.lit("")))), 1, 4)
 
 
 def _ranked(sources: DataFrame, weights: tuple[int, ...]) -> DataFrame:
@@ -113,7 +114,7 @@ def _repeats() -> Column:
 def _sized(docs: DataFrame, mix: Mix, text: str, source: str, doc_id: str) -> DataFrame:
     size = F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long")
     columns = [F.col(doc_id).alias("doc_id"), _key(F.col(source)).alias("key"), size.alias("size")]
-    return written(docs.select(*columns, _digest(F.col(doc_id), mix.seed).alias("digest")), "mix-sizes")
+    return written(docs.select(*columns, _digest(F.col(doc_id), F.col(text), mix.seed).alias("digest")), "mix-sizes")
 
 
 def takes(docs: DataFrame, mix: Mix | None = None, text: str = "text", source: str = "source", doc_id: str = "doc_id") -> DataFrame:
@@ -133,7 +134,7 @@ def mixed(docs: DataFrame, mix: Mix | None = None, text: str = "text", source: s
     cut = cut.select(*(F.col(c).alias(own[c]) for c in cut.columns))
     more = (F.col(own["digest"]) < F.col(own["last"])) | ((F.col(own["digest"]) == F.col(own["last"])) & F.col(own["with_last"]))
     times = F.col(own["whole"]) + F.coalesce(more, F.lit(False)).cast("long")
-    keyed = docs.withColumn(own["key"], _key(F.col(source))).withColumn(own["digest"], _digest(F.col(doc_id), mix.seed))
+    keyed = docs.withColumn(own["key"], _key(F.col(source))).withColumn(own["digest"], _digest(F.col(doc_id), F.col(text), mix.seed))
     joined = keyed.join(cut, own["key"]).filter(times > 0)
     return joined.withColumn(own["turn"], F.explode(F.sequence(F.lit(1).cast("long"), times))).select(*(f"`{n}`" for n in names))
 
@@ -141,7 +142,7 @@ def mixed(docs: DataFrame, mix: Mix | None = None, text: str = "text", source: s
 ORACLE = r"""
 WITH sized AS (
     SELECT doc_id, coalesce('0' || source, '1') AS key, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
-           substr(md5('mix-1:' || coalesce(doc_id::VARCHAR, 'null')), 1, 4) AS digest
+           substr(md5('mix-1:' || coalesce(doc_id::VARCHAR, 'null') || ':' || coalesce(text, '')), 1, 4) AS digest
     FROM documents
 ), sources AS (
     SELECT key, source_size, ([3.0::DOUBLE, 1.0, 2.0])[((row_number() OVER (ORDER BY key)) - 1) % 3 + 1] AS weight

@@ -3,9 +3,11 @@
 Rules name a host and a path; the longest that fits decides. URLs that a rule decides are also the labelled examples of accepted and
 rejected URLs. From 13 in 16 of them (by digest of host and path) two variable-order Markov models are counted, one for
 each class: P(character | context) at order k is Witten-Bell smoothed with order k - 1, down to equal chances. Contexts have up to
-`order` characters and count only if they hold a share of 1 / `contexts` of all training characters, so that each order keeps at
-most `contexts` of them: the table of log ratios has at most (order + 1) * contexts * alphabet rows, whatever the input, and is
-broadcast under that bound. All training URLs are counted; nothing is sampled.
+`order` characters and count if they were met `seen` times in the training URLs, so that the models grow with the input: no
+context that repeats is left out, however rare it is. All training URLs are counted; nothing is sampled.
+
+Scoring looks up each different (context, character) of all URLs once, then each URL its own. Tables are broadcast only if they have
+at most `BROADCAST_ROWS` rows; larger ones join by shuffle, where Spark divides the partitions of frequent contexts.
 
 A URL's score is the mean over its characters of the log ratio under the longest kept context. Scores of the others calibrate
 the limit: the lowest score above which at most `loss` of its accepted URLs lie. URLs without a rule are blocked above it.
@@ -22,7 +24,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from connlens.llm.common import LOWER, UPPER, lower_ascii, written
+from connlens.llm.common import LOWER, UPPER, broadcast_if_small, lower_ascii, written
 
 #: (verdict, host, path)
 RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
@@ -34,7 +36,7 @@ START, END = "^", "$"
 @dataclass(frozen=True)
 class Model:
     order: int = 4
-    contexts: int = 1024
+    seen: int = 2  # a context met less often is not kept
     held_out: int = 3  # sixteenths of the labelled URLs, for the limit
     loss: float = 0.01
 
@@ -84,7 +86,6 @@ def fitted(training: DataFrame, model: Model) -> list[DataFrame]:
         F.count_if("rejected").alias("n1"), F.count_if(~F.col("rejected")).alias("n0")
     )
     counts = written(counts, "url-grams")
-    total = counts.agg(F.sum(F.col("n0") + F.col("n1"))).first()[0] or 0
     alphabet = F.explode(F.array(*map(F.lit, ALPHABET))).alias("char")
     lower, out = None, []
     for k in range(model.order + 1):
@@ -92,7 +93,7 @@ def fitted(training: DataFrame, model: Model) -> list[DataFrame]:
         held = grams.groupBy("context").agg(
             *(F.sum(f"n{c}").alias(f"all{c}") for c in (0, 1)), *(F.count_if(F.col(f"n{c}") > 0).alias(f"kinds{c}") for c in (0, 1))
         )
-        held = held.filter((F.col("all0") + F.col("all1")) * model.contexts >= total)
+        held = held.filter(F.col("all0") + F.col("all1") >= model.seen)
         cells = held.select("*", alphabet).join(grams, ["context", "char"], "left")
         if lower is None:
             cells = cells.select("*", *(F.lit(1.0 / len(ALPHABET)).alias(f"low{c}") for c in (0, 1)))
@@ -114,17 +115,19 @@ def fitted(training: DataFrame, model: Model) -> list[DataFrame]:
 
 def scored(pages: DataFrame, tables: list[DataFrame], *keep: str) -> DataFrame:
     """`keep`, and score: the mean log ratio of the characters, in millionths. `pages` has symbols; rows that repeat stay."""
-    rows = _grams(pages, len(tables) - 1, *keep)
+    grams = _grams(pages, len(tables) - 1).select("context", "char").distinct()
     found = F.lit(None).cast("long")
     for k, table in enumerate(tables):
         name = f"ratio{k}"
         table = table.select(F.col("context").alias(f"context{k}"), F.col("char").alias(f"char{k}"), F.col("ratio").alias(name))
         fits = (F.expr(f"right(context, {k})") == F.col(f"context{k}")) & (F.col("char") == F.col(f"char{k}"))
-        rows = rows.join(F.broadcast(table), fits, "left")
+        grams = grams.join(broadcast_if_small(table), fits, "left")
         found = F.coalesce(F.col(name), found)
-    # All characters of a row are in one task, so that one row per page is shuffled.
+    ratios = written(grams.select("context", "char", F.coalesce(found, F.lit(0)).alias("ratio")), "url-ratios")
+    rows = _grams(pages, len(tables) - 1, *keep).join(broadcast_if_small(ratios), ["context", "char"])
+    # Sums are made in each task first, so that one row per page is shuffled where the ratios are broadcast.
     sums = rows.groupBy(*keep).agg(
-        F.sum(F.coalesce(found, F.lit(0))).alias("sum"), F.count(F.lit(1)).alias("chars"), F.count_if(F.col("place") == 1).alias("copies")
+        F.sum("ratio").alias("sum"), F.count(F.lit(1)).alias("chars"), F.count_if(F.col("place") == 1).alias("copies")
     )
     sums = sums.withColumn("score", F.col("sum") / F.col("chars"))
     return sums.select(*keep, "score", F.explode(F.sequence(F.lit(1).cast("long"), "copies")).alias("copy")).drop("copy")
@@ -179,7 +182,7 @@ def _sql_order(k: int, model: Model) -> str:
     SELECT right(context, {k}) AS context, char, sum(n0)::BIGINT AS n0, sum(n1)::BIGINT AS n1 FROM counts GROUP BY ALL
 ), held{k} AS (
     SELECT context, sum(n0)::BIGINT AS all0, sum(n1)::BIGINT AS all1, count(*) FILTER (WHERE n0 > 0) AS kinds0, count(*) FILTER (WHERE n1 > 0) AS kinds1
-    FROM grams{k} GROUP BY context HAVING (all0 + all1) * {model.contexts} >= (SELECT sum(n0 + n1) FROM counts)
+    FROM grams{k} GROUP BY context HAVING all0 + all1 >= {model.seen}
 ), model{k} AS MATERIALIZED (
     SELECT h.context, h.char, {chance.format(0)}, {chance.format(1)}
     FROM (SELECT *, unnest(string_split('{ALPHABET}', '')) AS char FROM held{k}) h

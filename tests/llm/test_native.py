@@ -69,17 +69,13 @@ class PlainModel:
     def __init__(self, training, how):
         self.order, size = how.order, len(urls.ALPHABET)
         self.counts = [defaultdict(Counter), defaultdict(Counter)]
-        total = 0
         for text, rejected in training:
             padded = "^" * self.order + text
             for i, c in enumerate(text):
-                total += 1
                 for k in range(self.order + 1):
                     self.counts[rejected][padded[i + self.order - k : i + self.order]][c] += 1
         self.size = size
-        self.kept = {
-            x for x in {*self.counts[0], *self.counts[1]} if sum(sum(c.get(x, {}).values()) for c in self.counts) * how.contexts >= total
-        }
+        self.kept = {x for x in {*self.counts[0], *self.counts[1]} if sum(sum(c.get(x, {}).values()) for c in self.counts) >= how.seen}
 
     def chance(self, rejected, context, char):
         low = self.chance(rejected, context[1:], char) if context else 1 / self.size
@@ -127,6 +123,24 @@ def test_url_model_tells_held_out_urls_apart(spark, data):
     assert sum(right) > 0.9 * len(right)
 
 
+def test_rare_words_of_urls_are_learnt(spark):
+    """A word in two of many thousand training URLs, beside hosts that have all other characters."""
+    same = [(i, f"http://site{i % 7}.{'net' if i % 2 else 'org/fr'}/page") for i in range(4000)]
+    rare = [(9000 + i, "http://qqq.net/page") for i in range(40)] + [(9500, "http://qqq.com/page"), (9501, "http://site3.com/page")]
+    table = spark.createDataFrame([*same, *rare], "page_id long, url string")
+    training = urls.with_parts(table).withColumn("symbols", urls._symbols()).filter("page_id < 9500")
+    tables = urls.fitted(training.selectExpr("symbols", "host LIKE '%net' AS rejected"), urls.Model())
+    kept = {r.context for r in tables[3].select("context").distinct().collect()}
+    assert {"qqq", "q.n"} <= kept
+
+
+def test_urls_with_larger_tables_than_are_broadcast(spark, data, monkeypatch):
+    table = spark.read.parquet(f"{data}/pages.parquet")
+    wanted = sorted(map(tuple, urls.judged(table).collect()), key=repr)
+    monkeypatch.setattr(urls, "broadcast_if_small", lambda df: df)
+    assert sorted(map(tuple, urls.judged(table).collect()), key=repr) == wanted
+
+
 def test_urls_without_examples(spark):
     table = spark.createDataFrame([(1, "http://x.com/"), (2, "http://a.net/b")], "page_id long, url string")
     assert plain(urls.judged(table), "page_id", "verdict") == [(1, "allow"), (2, "block")]
@@ -170,6 +184,19 @@ def test_mix(spark):
     assert Counter(r.doc_id for r in mixed.collect()) == +Counter({i: sum(r.repeats for r in found if r.doc_id == i) for i in source})
 
 
+def test_mix_with_one_id_on_many_rows(spark):
+    """Each source comes within a document or two of its target, though one id holds most rows of a source."""
+    rows = [(7 if i % 2 else i, f"w{i} " * 40, "en", "a", 0, 0, "", 0, "") for i in range(400)]
+    rows += [(1000 + i, f"v{i} " * 40, "en", s, 0, 0, "", 0, "") for i in range(100) for s in ("b", "c")]
+    docs = frame(spark, rows)
+    goals = mixing.targets(mixing._sized(docs, mixing.Mix(), "text", "source", "doc_id"), mixing.Mix()).collect()
+    taken = Counter()
+    for r in mixing.mixed(docs).collect():
+        taken[r.source] += 40
+    assert len(goals) == 3
+    assert all(abs(taken[r.key[1:]] - r.target) <= 80 for r in goals)
+
+
 def test_mix_of_many_sources_meets_targets(spark, data):
     folder = data.replace("0.001", "0.1")
     found = QUERIES["op4_source_mix"](spark, folder)
