@@ -1,3 +1,5 @@
+from collections import Counter
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -57,6 +59,24 @@ def test_pairs_need_no_cross_join(spark):
     assert ("a", 2, 1) in seen and ("a", 3, 0) in seen and (None, 3, 1) in seen
 
 
+def test_observed_pairs_are_labelled_where_they_are_made(spark, monkeypatch):
+    rows = [(f"k{i % 9}" if i % 10 else None, i % 13 if i % 11 else None) for i in range(900)]
+    table = spark.createDataFrame(rows, "x string, y int")
+    pairs = B.cross_observed(table, "x", "y", "times")
+    found = pairs.collect()
+    wanted = Counter(rows)
+    assert {(r.x, r.y): (r.times, r.observed) for r in found} == {
+        (x, y): (wanted[x, y], (x, y) in wanted)
+        for x in {r[0] for r in rows}
+        for y in {r[1] for r in rows}
+    }
+    plan = pairs._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan[: plan.index("Generate explode(array_except")]
+    monkeypatch.setattr(B, "VALUES_PER_BLOCK", 3)
+    assert sorted(map(repr, B.cross_observed(table, "x", "y", "times").collect())) == sorted(map(repr, found))
+    assert B.cross_observed(table.limit(0), "x", "y").collect() == []
+
+
 def test_totals_agree(spark):
     table = spark.range(100).selectExpr(
         "CASE WHEN id % 4 = 0 THEN 'normal.' ELSE concat('k', id % 5) END AS attack", "id AS m"
