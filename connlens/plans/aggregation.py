@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from connlens.operators import aggregates as A
-from connlens.plans.ingest import raw_lines
-from connlens.plans.roles import interaction_text, interactions, over_interactions
+from connlens.plans.roles import interaction_text, interactions, over_interactions, raw_lines
 from connlens.sources import (
     narrow_interactions,
     parse_fields,
@@ -63,7 +62,7 @@ def _sum_by_tag(spark, folder):
     """From text lines: the measure is decoded, nothing else."""
     fields = parse_fields(raw_lines(spark, folder))
     return A.sum_by_tag(
-        pick_fields(fields, {3: "tag", 4: ("duration", "double")}), "duration", "tag"
+        pick_fields(fields, {0: ("duration", "double"), 41: "tag"}), "duration", "tag"
     )
 
 
@@ -148,8 +147,8 @@ ORACLES = {
         "SELECT 'all' AS part, sum(duration)::DOUBLE AS total FROM interactions "
         "UNION ALL SELECT 'none', 0.0::DOUBLE"
     ),
-    "sum_by_tag": (
-        "SELECT l_returnflag AS tag, sum(l_quantity) AS total FROM lineitem GROUP BY l_returnflag"
+    "sum_by_tag": over_interactions(
+        "SELECT attack AS tag, CAST(sum(duration) AS DOUBLE) AS total FROM interactions GROUP BY attack"
     ),
     "count_by_tag": over_interactions(
         "SELECT attack, count(*) AS n FROM interactions GROUP BY attack"

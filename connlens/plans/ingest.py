@@ -5,15 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from connlens.fields import FIELD_NAMES, INTERACTION_SCHEMA, NARROW_FIELDS
+from connlens.fields import FIELD_COUNT, FIELD_NAMES, INTERACTION_SCHEMA, LABELS, NARROW_FIELDS
 from connlens.functions import field_at
 from connlens.plans.roles import (
-    RAW_FIELDS,
     RAW_LINE,
     interaction_text,
     interactions,
     over_interactions,
-    raw_records,
+    raw_lines,
+    raw_text,
 )
 from connlens.sources import (
     kept,
@@ -24,21 +24,19 @@ from connlens.sources import (
     parse_outcome,
     pick_fields,
     preview,
+    publish,
+    published,
     range_source,
     read_lines,
     read_table,
     register_view,
-    render_lines,
     schema_report,
+    split_rejects,
     spread,
     write_result,
 )
 
 
-def raw_lines(spark: SparkSession, folder: str) -> DataFrame:
-    return render_lines(raw_records(spark, folder), RAW_FIELDS)
-
-
 def written_lines(spark: SparkSession, folder: str, name: str) -> str:
     """The raw lines as gzip text files in the shared folder."""
     path = new_scratch_path(spark, name)
@@ -54,12 +52,12 @@ def _parse_fields(spark, folder):
     fields = parse_fields(raw_lines(spark, folder))
     return fields.select(
         F.size("fields").alias("arity"),
-        *[field_at("fields", p).alias(f"f{p}") for p in range(len(RAW_FIELDS) + 1)],
+        *[field_at("fields", p).alias(f"f{p}") for p in range(FIELD_COUNT + 1)],
     )
 
 
 def _pick_fields(spark, folder):
-    wanted = {0: ("order_key", "bigint"), 3: "tag", 4: ("duration", "bigint")}
+    wanted = {0: ("duration", "bigint"), 2: "service", 24: ("serror_rate", "double"), 41: "tag"}
     return pick_fields(parse_fields(raw_lines(spark, folder)), wanted)
 
 
@@ -67,8 +65,8 @@ def _parse_interactions(spark, folder):
     return parse_interactions(interaction_text(spark, folder))
 
 
-def damaged_text(spark: SparkSession, folder: str) -> DataFrame:
-    """The interaction lines, some of them damaged by a rule over their own fields."""
+def damaged_text(lines: DataFrame) -> DataFrame:
+    """Interaction lines, some of them damaged by a rule over their own fields."""
     fields = F.split("value", ",")
     flag, rate = field_at(fields, 3), field_at(fields, 26).cast("double")
     hot = field_at(fields, 9)
@@ -79,27 +77,45 @@ def damaged_text(spark: SparkSession, folder: str) -> DataFrame:
         .when((flag == "SF") & (hot == "2"), F.concat(line, F.lit(",x")))
         .when((flag == "S0") & (rate == 0.0), F.concat(F.lit("ten"), line))
         .when((flag == "S0") & (hot == "3"), F.regexp_replace(line, r"^([^,]*,){4}", "$0x"))
+        .when((flag == "SF") & (hot == "3"), F.concat(F.substring_index(line, ",", 41), F.lit(",unheard.")))
         .otherwise(line)
     )
-    return interaction_text(spark, folder).select(damaged.alias("value"))
+    return lines.select(damaged.alias("value"))
 
 
 def _parse_reject(spark, folder):
-    outcome = parse_outcome(damaged_text(spark, folder))
+    outcome = parse_outcome(damaged_text(interaction_text(spark, folder)))
     reason = F.coalesce("reason", F.lit("good"))
     return outcome.groupBy(reason.alias("reason")).agg(
         F.count(F.lit(1)).alias("n"), F.sum("duration").alias("total_duration")
     )
 
 
+def _rejected_lines(spark, folder):
+    """Every rejected line with its reason; a label that the record layout doesn't know is one."""
+    path = new_scratch_path(spark, "damaged")
+    damaged_text(raw_lines(spark, folder)).write.option("compression", "gzip").text(path)
+    _, rejected = split_rejects(read_lines(spark, path), labels=LABELS)
+    return rejected
+
+
 def _narrow(spark, folder):
     return narrow_interactions(parse_interactions(interaction_text(spark, folder)))
 
 
 def _range(spark, folder):
-    n = read_table(spark, folder, "lineitem").count()
-    return range_source(spark, n).agg(
-        F.count(F.lit(1)).alias("n"), F.sum("id").alias("total"), F.max("id").alias("last")
+    """Numbers up to the last order key, and which of them no order has."""
+    lines = read_table(spark, folder, "lineitem").groupBy(F.col("l_orderkey").alias("id"))
+    lines = lines.agg(F.count(F.lit(1)).alias("lines"))
+    last = lines.agg(F.max("id")).first()[0]
+    numbers = range_source(spark, 0 if last is None else last + 1).join(lines, "id", "left")
+    unused = F.col("lines").isNull()
+    return numbers.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(unused).alias("unused"),
+        F.sum(F.when(unused, F.col("id"))).alias("unused_total"),
+        F.sum("lines").alias("lines"),
+        F.max("id").alias("last"),
     )
 
 
@@ -123,8 +139,10 @@ def _preview(spark, folder):
 
 def _write_result(spark, folder):
     counts = interactions(spark, folder).select(*NARROW_FIELDS)
-    copy = write_result(counts, new_scratch_path(spark, "written"), ["attack"])
-    return copy.groupBy("attack").agg(
+    path = new_scratch_path(spark, "published")
+    publish(counts.filter("attack = 'normal.'"), path, ["attack"])  # replaced by the next
+    publish(counts, path, ["attack"])
+    return published(spark, path).groupBy("attack").agg(
         F.count(F.lit(1)).alias("n"), F.sum("src_bytes").alias("total_bytes")
     )
 
@@ -151,6 +169,7 @@ QUERIES = {
     "pick_fields": _pick_fields,
     "parse_interactions": _parse_interactions,
     "parse_reject": _parse_reject,
+    "rejected_lines": _rejected_lines,
     "narrow_interactions": _narrow,
     "range_source": _range,
     "register_view": _register_view,
@@ -168,18 +187,24 @@ _DAMAGE = (
     "WHEN flag = 'S0' AND rerror_rate = 0 THEN 'bad number: duration' "
     "WHEN flag = 'S0' AND hot = 3 THEN 'bad number: src_bytes' ELSE 'good' END"
 )
+_REST, _UNHEARD = "ELSE 'good' END", "WHEN flag = 'SF' AND hot = 3 THEN 'unknown label' "
+_DAMAGED_LINE = (
+    "CASE reason WHEN 'empty line' THEN '  ' WHEN 'too many fields' THEN line || ',x' "
+    "WHEN 'too few fields' THEN regexp_replace(line, ',[^,]*$', '') "
+    "WHEN 'bad number: duration' THEN 'ten' || line "
+    "WHEN 'unknown label' THEN regexp_replace(line, ',[^,]*$', ',unheard.') "
+    "ELSE regexp_replace(line, '^(([^,]*,){4})', '\\1x') END"
+)
 
 ORACLES = {
-    "read_lines": f"SELECT {RAW_LINE} AS value FROM lineitem",
-    "parse_fields": (
-        "SELECT 5 AS arity, CAST(l_orderkey AS VARCHAR) AS f0, l_linestatus AS f1, "
-        "CAST(l_linenumber AS VARCHAR) AS f2, l_returnflag AS f3, "
-        "CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) AS f4, CAST(NULL AS VARCHAR) AS f5 "
-        "FROM lineitem"
+    "read_lines": over_interactions(f"SELECT {RAW_LINE} AS value FROM interactions"),
+    "parse_fields": over_interactions(
+        f"SELECT {FIELD_COUNT} AS arity, "
+        + ", ".join(f"{raw_text(name)} AS f{p}" for p, name in enumerate(FIELD_NAMES))
+        + f", CAST(NULL AS VARCHAR) AS f{FIELD_COUNT} FROM interactions"
     ),
-    "pick_fields": (
-        "SELECT l_orderkey AS order_key, l_returnflag AS tag, "
-        "CAST(l_quantity AS BIGINT) AS duration FROM lineitem"
+    "pick_fields": over_interactions(
+        "SELECT duration, service, serror_rate, attack AS tag FROM interactions"
     ),
     "parse_interactions": over_interactions(
         "SELECT " + ", ".join(f'"{c}"' for c in FIELD_NAMES) + " FROM interactions"
@@ -189,13 +214,20 @@ ORACLES = {
         "'bad number: duration') THEN NULL ELSE duration END) AS BIGINT) AS total_duration "
         f"FROM (SELECT {_DAMAGE} AS reason, duration FROM interactions) GROUP BY reason"
     ),
+    "rejected_lines": over_interactions(
+        f"SELECT {_DAMAGED_LINE} AS value, reason FROM (SELECT *, {RAW_LINE} AS line, "
+        f"{_DAMAGE.replace(_REST, _UNHEARD + _REST)} AS reason FROM interactions) WHERE reason <> 'good'"
+    ),
     "narrow_interactions": over_interactions(
         "SELECT duration, protocol_type, service, flag, src_bytes, dst_bytes, "
         "CASE WHEN attack = 'normal.' THEN 'normal' ELSE 'attack' END AS attack FROM interactions"
     ),
     "range_source": (
-        "SELECT count(*) AS n, CAST(sum(i) AS BIGINT) AS total, max(i) AS last "
-        "FROM (SELECT row_number() OVER () - 1 AS i FROM lineitem)"
+        "SELECT count(*) AS n, count(*) FILTER (WHERE l.lines IS NULL) AS unused, "
+        "CAST(sum(i) FILTER (WHERE l.lines IS NULL) AS BIGINT) AS unused_total, "
+        "CAST(sum(l.lines) AS BIGINT) AS lines, max(i) AS last "
+        "FROM (SELECT unnest(range((SELECT max(l_orderkey) + 1 FROM lineitem))) AS i) "
+        "LEFT JOIN (SELECT l_orderkey, count(*) AS lines FROM lineitem GROUP BY 1) l ON l.l_orderkey = i"
     ),
     "register_view": over_interactions(
         "SELECT protocol_type, count(*) AS n, CAST(sum(duration) AS BIGINT) AS total_duration "

@@ -4,18 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from connlens.fields import FEATURE_GROUPS, FIELD_NAMES
+from connlens.fields import FEATURE_GROUPS, FIELD_NAMES, LABEL_POSITION
 from connlens.functions import std_from_variance
 from connlens.operators import projections as P
 from connlens.operators import setops as S
 from connlens.operators.aggregates import count_rows, count_where, group_count, sort_desc, top_k
-from connlens.plans.ingest import raw_lines
-from connlens.plans.roles import RAW_LINE, interaction_text, interactions, over_interactions
+from connlens.plans.roles import (
+    RAW_LINE,
+    interaction_text,
+    interactions,
+    over_interactions,
+    raw_line,
+    raw_lines,
+)
 from connlens.sources import parse_fields, read_table
 
-TAG_POSITION = 3
-
-
 def _fields(spark, folder):
     return parse_fields(raw_lines(spark, folder))
 
@@ -42,13 +45,14 @@ def _project_expr(spark, folder):
 
 def _cast_columns(spark, folder):
     fields = _fields(spark, folder).select(
-        F.get("fields", F.lit(0)).alias("order_key"),
-        F.get("fields", F.lit(3)).alias("tag"),
-        F.get("fields", F.lit(4)).alias("duration"),
+        F.get("fields", F.lit(0)).alias("duration"),
+        F.get("fields", F.lit(4)).alias("src_bytes"),
+        F.get("fields", F.lit(24)).alias("serror_rate"),
+        F.get("fields", F.lit(LABEL_POSITION)).alias("tag"),
     )
     return P.cast_columns(
         fields.withColumn("tag_number", F.col("tag")),
-        {"order_key": "bigint", "duration": "double", "tag_number": "int"},
+        {"duration": "double", "src_bytes": "bigint", "serror_rate": "double", "tag_number": "int"},
     )
 
 
@@ -69,7 +73,7 @@ def _filter_contains(spark, folder):
 
 
 def _filter_member(spark, folder):
-    return P.filter_member(_fields(spark, folder), "fields", "N").select("value")
+    return P.filter_member(_fields(spark, folder), "fields", "neptune.").select("value")
 
 
 def _filter_tag(spark, folder):
@@ -98,8 +102,8 @@ def _drop_fields(spark, folder):
 
 def _key_by(spark, folder):
     parsed = _fields(spark, folder)
-    full = P.key_by(parsed, "fields", TAG_POSITION)
-    short = P.key_by(parsed, "fields", TAG_POSITION, keep_last=False)
+    full = P.key_by(parsed, "fields", LABEL_POSITION)
+    short = P.key_by(parsed, "fields", LABEL_POSITION, keep_last=False)
 
     def shown(df, variant):
         return df.select(
@@ -110,8 +114,8 @@ def _key_by(spark, folder):
 
 
 def _collect_tag(spark, folder):
-    pairs = P.key_by(_fields(spark, folder), "fields", TAG_POSITION)
-    return P.collect_tag(pairs, "R").select("tag", F.concat_ws("|", "fields").alias("fields"))
+    pairs = P.key_by(_fields(spark, folder), "fields", LABEL_POSITION)
+    return P.collect_tag(pairs, "smurf.").select("tag", F.concat_ws("|", "fields").alias("fields"))
 
 
 def _distinct_values(spark, folder):
@@ -238,8 +242,7 @@ _UNCORRELATED = (
     "dst_host_count, dst_host_srv_count, dst_host_same_srv_rate, dst_host_diff_srv_rate, "
     "dst_host_srv_diff_host_rate, dst_host_serror_rate, dst_host_rerror_rate"
 )
-_PIPED = RAW_LINE.replace("concat_ws(','", "concat_ws('|'")
-_PIPED_SHORT = _PIPED.replace(", CAST(CAST(l_quantity AS BIGINT) AS VARCHAR))", ")")
+_PIPED, _PIPED_SHORT = raw_line("|"), raw_line("|", FIELD_NAMES[:-1])
 
 ORACLES = {
     "select_columns": over_interactions(
@@ -249,9 +252,9 @@ ORACLES = {
         "SELECT protocol_type AS src, service AS dst, attack AS relationship, "
         "src_bytes + dst_bytes AS all_bytes FROM interactions"
     ),
-    "cast_columns": (
-        "SELECT l_orderkey AS order_key, l_returnflag AS tag, l_quantity AS duration, "
-        "CAST(NULL AS INTEGER) AS tag_number FROM lineitem"
+    "cast_columns": over_interactions(
+        "SELECT CAST(duration AS DOUBLE) AS duration, src_bytes, serror_rate, attack AS tag, "
+        "CAST(NULL AS INTEGER) AS tag_number FROM interactions"
     ),
     "add_column": over_interactions(
         "SELECT service, duration, serror_rate, round(duration / 60, 4) AS minutes, "
@@ -263,7 +266,9 @@ ORACLES = {
     "filter_contains": over_interactions(
         "SELECT count(*) AS n FROM interactions WHERE attack = 'normal.'"
     ),
-    "filter_member": f"SELECT {RAW_LINE} AS value FROM lineitem WHERE l_returnflag = 'N'",
+    "filter_member": over_interactions(
+        f"SELECT {RAW_LINE} AS value FROM interactions WHERE attack = 'neptune.'"
+    ),
     "filter_tag": over_interactions(
         "SELECT CASE WHEN attack = 'normal.' THEN 'normal' ELSE 'attack' END AS class, "
         "count(*) AS n FROM interactions GROUP BY 1"
@@ -277,12 +282,12 @@ ORACLES = {
         "END AS label FROM interactions"
     ),
     "drop_fields": over_interactions(f"SELECT {_UNCORRELATED} FROM interactions"),
-    "key_by": (
-        f"SELECT 'all' AS variant, l_returnflag AS tag, {_PIPED} AS fields FROM lineitem "
-        f"UNION ALL SELECT 'without last', l_returnflag, {_PIPED_SHORT} FROM lineitem"
+    "key_by": over_interactions(
+        f"SELECT 'all' AS variant, attack AS tag, {_PIPED} AS fields FROM interactions "
+        f"UNION ALL SELECT 'without last', attack, {_PIPED_SHORT} FROM interactions"
     ),
-    "collect_tag": (
-        f"SELECT l_returnflag AS tag, {_PIPED} AS fields FROM lineitem WHERE l_returnflag = 'R'"
+    "collect_tag": over_interactions(
+        f"SELECT attack AS tag, {_PIPED} AS fields FROM interactions WHERE attack = 'smurf.'"
     ),
     "distinct_values": over_interactions("SELECT DISTINCT service, flag FROM interactions"),
     "format_row": over_interactions(

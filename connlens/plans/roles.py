@@ -8,6 +8,7 @@ other fields ("planted"): it lets a model test show that training works, nothing
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from connlens.fields import FIELD_NAMES, RATE_POSITIONS
 from connlens.sources import read_table, spread_if_few
@@ -113,17 +114,23 @@ def over_interactions(sql: str) -> str:
     return f"{with_interactions} {sql}"
 
 
-RAW_FIELDS = ["l_orderkey", "l_linestatus", "l_linenumber", "l_returnflag", "l_quantity"]
+# Rates have four digits after the point at most, so this text form is exact and the same in every engine.
+_RATE_TEXT = "DECIMAL(9, 4)"
 
 
-def raw_records(spark: SparkSession, folder: str) -> DataFrame:
-    """Five whole-number and text columns, whose text form is the same in every engine."""
-    return read_table(spark, folder, TABLE).selectExpr(
-        *RAW_FIELDS[:4], "CAST(l_quantity AS BIGINT) AS l_quantity"
-    )
+def raw_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """The records as text lines of 42 fields, the rates with four digits after the point."""
+    rows = interactions(spark, folder, heavy=True)
+    return interaction_lines(rows.withColumns({name: F.col(name).cast(_RATE_TEXT) for name in _RATE}))
 
 
-RAW_LINE = (
-    "concat_ws(',', CAST(l_orderkey AS VARCHAR), l_linestatus, CAST(l_linenumber AS VARCHAR), "
-    "l_returnflag, CAST(CAST(l_quantity AS BIGINT) AS VARCHAR))"
-)
+def raw_text(field: str) -> str:
+    """The text of a field of a raw line, in the SQL that checks."""
+    return f'CAST(CAST("{field}" AS {_RATE_TEXT}) AS VARCHAR)' if field in _RATE else f'CAST("{field}" AS VARCHAR)'
+
+
+def raw_line(sep: str = ",", fields: list[str] = FIELD_NAMES) -> str:
+    return f"concat_ws('{sep}', {', '.join(map(raw_text, fields))})"
+
+
+RAW_LINE = raw_line()

@@ -5,8 +5,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from connlens.operators.aggregates import count_by_tag
-from connlens.plans.ingest import raw_lines, written_lines
-from connlens.plans.roles import RAW_LINE, interaction_text, interactions, over_interactions
+from connlens.plans.ingest import written_lines
+from connlens.plans.roles import (
+    RAW_LINE,
+    interaction_text,
+    interactions,
+    over_interactions,
+    raw_lines,
+)
 from connlens.sources import (
     new_scratch_path,
     parse_fields,
@@ -40,7 +46,7 @@ def _to_table(lines, spark):
 
 def _stream_lines(spark, folder):
     lines = stream_lines(spark, written_lines(spark, folder, "stream-input"))
-    tags = pick_fields(parse_fields(_to_table(lines, spark)), {3: "tag"})
+    tags = pick_fields(parse_fields(_to_table(lines, spark)), {41: "tag"})
     return count_by_tag(tags, "tag")
 
 
@@ -59,15 +65,36 @@ def _stream_follow(spark, folder):
     )
 
 
+def _batch_measures():
+    """What can be added up over batches: characters, and the durations by label class."""
+    fields = F.split("value", ",")
+    duration, normal = F.get(fields, F.lit(0)).cast("long"), F.get(fields, F.lit(41)) == "normal."
+    return (
+        F.sum(F.length("value")).alias("chars"),
+        F.sum(F.when(normal, duration)).alias("normal_duration"),
+        F.sum(F.when(~normal, duration)).alias("attack_duration"),
+    )
+
+
+_BATCHES = "n long, chars long, normal_duration long, attack_duration long, batch_id long"
+
+
+def _sums():
+    return [F.sum(c).alias(c) for c in ("chars", "normal_duration", "attack_duration")]
+
+
 def _stream_micro_batch(spark, folder):
     lines = stream_lines(spark, written_lines(spark, folder, "batch-input"), files_per_batch=1)
     path = new_scratch_path(spark, "batch-counts")
-    query = batch_counts(lines, path, new_scratch_path(spark, "batch-state"), None)
+    query = batch_counts(
+        lines, path, new_scratch_path(spark, "batch-state"), None, *_batch_measures()
+    )
     await_stream(query, TIMEOUT)
-    counts = spark.read.schema("n long, batch_id long").parquet(path)
+    counts = spark.read.schema(_BATCHES).parquet(path)
     numbered = F.max("batch_id") + 1 == F.count_distinct("batch_id")
     return counts.agg(
         F.sum("n").alias("lines"),
+        *_sums(),
         (numbered & (F.min("batch_id") == 0)).alias("without_gaps"),
         (F.count(F.lit(1)) == F.count_distinct("batch_id")).alias("one_row_each"),
     )
@@ -81,7 +108,11 @@ def _stream_lifecycle(spark, folder):
     lines.filter(early).write.text(path)
     counts = new_scratch_path(spark, "timed-counts")
     query = batch_counts(
-        stream_lines(spark, path), counts, new_scratch_path(spark, "timed-state"), "1 second"
+        stream_lines(spark, path),
+        counts,
+        new_scratch_path(spark, "timed-state"),
+        "1 second",
+        *_batch_measures(),
     )
     try:
         query.processAllAvailable()
@@ -90,9 +121,10 @@ def _stream_lifecycle(spark, folder):
         was_active = query.isActive
     finally:
         query.stop()
-    rows = spark.read.schema("n long, batch_id long").parquet(counts)
+    rows = spark.read.schema(_BATCHES).parquet(counts)
     return rows.agg(
         F.sum("n").alias("lines"),
+        *_sums(),
         (F.count_if(F.col("n") > 0) >= 2).alias("several_batches"),
         F.lit(was_active and not query.isActive).alias("stopped"),
     )
@@ -100,9 +132,9 @@ def _stream_lifecycle(spark, folder):
 
 def _stream_skip_blank(spark, folder):
     path = new_scratch_path(spark, "blank-input")
-    tag = F.split("value", ",")[3]
+    tag = F.split("value", ",")[41]
     lines = raw_lines(spark, folder).select(
-        F.when(tag == "A", F.lit("   ")).otherwise(F.col("value")).alias("value")
+        F.when(tag == "smurf.", F.lit("   ")).otherwise(F.col("value")).alias("value")
     )
     lines.write.text(path)
     return _to_table(skip_blank(stream_lines(spark, path)), spark)
@@ -149,19 +181,29 @@ QUERIES = {
     "stream_errors": _stream_errors,
 }
 
+_SQL_SUMS = (
+    f"count(*) AS lines, CAST(sum(length({RAW_LINE})) AS BIGINT) AS chars, "
+    "CAST(sum(duration) FILTER (WHERE attack = 'normal.') AS BIGINT) AS normal_duration, "
+    "CAST(sum(duration) FILTER (WHERE attack <> 'normal.') AS BIGINT) AS attack_duration"
+)
+
 ORACLES = {
-    "stream_lines": "SELECT l_returnflag AS tag, count(*) AS n FROM lineitem GROUP BY 1",
+    "stream_lines": over_interactions(
+        "SELECT attack AS tag, count(*) AS n FROM interactions GROUP BY 1"
+    ),
     "stream_follow": over_interactions(
         "SELECT attack, count(*) AS n, CAST(sum(src_bytes) AS BIGINT) AS total_bytes "
         "FROM interactions GROUP BY attack"
     ),
-    "stream_micro_batch": (
-        "SELECT count(*) AS lines, true AS without_gaps, true AS one_row_each FROM lineitem"
+    "stream_micro_batch": over_interactions(
+        f"SELECT {_SQL_SUMS}, true AS without_gaps, true AS one_row_each FROM interactions"
+    ),
+    "stream_lifecycle": over_interactions(
+        f"SELECT {_SQL_SUMS}, true AS several_batches, true AS stopped FROM interactions"
     ),
-    "stream_lifecycle": (
-        "SELECT count(*) AS lines, true AS several_batches, true AS stopped FROM lineitem"
+    "stream_skip_blank": over_interactions(
+        f"SELECT {RAW_LINE} AS value FROM interactions WHERE attack <> 'smurf.'"
     ),
-    "stream_skip_blank": f"SELECT {RAW_LINE} AS value FROM lineitem WHERE l_returnflag <> 'A'",
     "stream_sql": over_interactions(
         "SELECT 0::BIGINT AS batch_id, (row_number() OVER (ORDER BY attack) - 1)::INTEGER "
         "AS query_no, to_json({'attack': attack, 'n': n, 'mean': mean})::VARCHAR AS row_json "

@@ -8,6 +8,7 @@ from connlens.sources.lines import (
     render_lines,
     split_rejects,
 )
+from connlens.sources.publishing import expire, publish, published
 from connlens.sources.storage import (
     clear_scratch,
     cut_lineage,
@@ -31,6 +32,7 @@ __all__ = [
     "cache_table",
     "clear_scratch",
     "cut_lineage",
+    "expire",
     "kept",
     "narrow_interactions",
     "new_scratch_path",
@@ -39,6 +41,8 @@ __all__ = [
     "parse_outcome",
     "pick_fields",
     "preview",
+    "publish",
+    "published",
     "range_source",
     "read_lines",
     "read_table",

@@ -76,9 +76,16 @@ def parse_interactions(
 
 
 def parse_outcome(
-    df: DataFrame, schema: T.StructType = INTERACTION_SCHEMA, sep: str = ",", value: str = "value"
+    df: DataFrame,
+    schema: T.StructType = INTERACTION_SCHEMA,
+    sep: str = ",",
+    value: str = "value",
+    labels: list[str] | None = None,
 ) -> DataFrame:
-    """Typed columns plus the line and ``reason``: null for a good line, else what is wrong."""
+    """Typed columns plus the line and ``reason``: null for a good line, else what is wrong.
+
+    With ``labels``, a last field that is none of them is wrong.
+    """
     parsed = parse_fields(df.select(value), sep, value)
     typed = parsed.select(value, F.size("fields").alias("arity"), "fields", *_typed(schema))
 
@@ -100,14 +107,21 @@ def parse_outcome(
         .when(F.col("arity") > len(schema), "too many fields")
         .when(first_bad.isNotNull(), F.concat(F.lit("bad number: "), first_bad))
     )
+    if labels is not None:
+        known = F.col(schema.names[-1]).isin(labels)
+        reason = reason.when(~F.coalesce(known, F.lit(False)), "unknown label")
     return typed.withColumn("reason", reason).select(value, "reason", *schema.names)
 
 
 def split_rejects(
-    df: DataFrame, schema: T.StructType = INTERACTION_SCHEMA, sep: str = ",", value: str = "value"
+    df: DataFrame,
+    schema: T.StructType = INTERACTION_SCHEMA,
+    sep: str = ",",
+    value: str = "value",
+    labels: list[str] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """(good records, rejected lines with their reason). Together they hold every input line."""
-    outcome = parse_outcome(df, schema, sep, value)
+    outcome = parse_outcome(df, schema, sep, value, labels)
     good = outcome.filter(F.col("reason").isNull()).select(*schema.names)
     bad = outcome.filter(F.col("reason").isNotNull()).select(value, "reason")
     return good, bad

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -56,12 +56,19 @@ def lines_to_table(
 
 
 def batch_counts(
-    stream: DataFrame, path: str, checkpoint: str, interval: str | None = BATCH_INTERVAL
+    stream: DataFrame,
+    path: str,
+    checkpoint: str,
+    interval: str | None = BATCH_INTERVAL,
+    *measures: Column,
 ) -> StreamingQuery:
-    """Write the number of lines of every micro-batch; a replayed batch overwrites its own row."""
+    """Write the number of lines of every micro-batch, and other aggregates that are named.
+
+    A replayed batch overwrites its own row.
+    """
 
     def count(batch: DataFrame, batch_id: int) -> None:
-        batch.agg(F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(
+        batch.agg(F.count(F.lit(1)).alias("n"), *measures).write.mode("overwrite").parquet(
             f"{path}/batch_id={batch_id}"
         )
 
