@@ -12,11 +12,11 @@ of those before it, following only edges within the radius of its distance to a
 member, so copies cost nothing; members that link are united in the task, and each sends one link, to the smallest of its set. A
 shard of the exact search has at most 2**26 different fingerprints, as only so many bits are free.
 
-Similar texts. With `bands` > 0 the links are those of texts whose runs of `check_words` words have a Jaccard similarity of
-`similarity` or more (`similar`); then the fingerprints are given, but not searched.
-
 Components follow from the links (`components`). Nothing is broadcast or collected.
 
+One of each (`one_of_each`) keeps the row with the smallest doc_id of each component, null last; of rows that share it, the one with the
+smallest digest of all columns. Its components are those of fingerprints, so that rows of one doc_id and unlike texts all stay.
+
 Defined results: a null or empty text, or one of blanks, has fingerprint zero, linked like any other; fewer words than a run are one run;
 rows that repeat are kept; a null doc_id is no component's name unless no other is there (then null); an empty table gives an
 empty table; extra columns don't matter.
@@ -34,9 +34,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from connlens.llm.common import written
+from connlens.llm.common import with_suffix, written
 from connlens.llm.components import components
-from connlens.llm.similar import Bands, set_key, similar_components
 
 NO_ID = 2**63 - 1
 
@@ -48,16 +47,10 @@ class Search:
     blocks: int = 5
     equal: int = 3
     seed: int = 42
-    bands: int = 0
-    rows: int = 4  # smallest hashes in a band
-    check_words: int = 5
-    similarity: float = 0.0
 
 
 #: By contract: all links at two bits or fewer.
 EXACT = Search()
-#: For texts whose runs of five words have a similarity of 0.8 or more. At 0.8 a pair shares no band once in 4,600 times, above less often.
-SIMILAR = Search(bands=16, rows=4, similarity=0.8)
 
 
 def _hashes(words: list[bytes], n: int, seed: int) -> np.ndarray:
@@ -81,38 +74,20 @@ def fingerprint(hashes: np.ndarray) -> int:
 
 def _prints(how: Search):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        banded = Bands(how.bands, how.rows)
         for batch in batches:
-            found, keys, sizes, bands = [], [], [], []
-            for text in batch.column(1).to_pylist():
-                words = (text or "").encode().lower().split()
-                found.append(fingerprint(_hashes(words, how.words, how.seed)))
-                if how.bands:
-                    runs = np.unique(_hashes(words, how.check_words, how.seed))
-                    keys.append(set_key(runs))
-                    sizes.append(len(runs))
-                    bands.append(banded(runs))
+            texts = batch.column(batch.num_columns - 1).to_pylist()
+            found = [fingerprint(_hashes((t or "").encode().lower().split(), how.words, how.seed)) for t in texts]
             prints = pa.array(np.array(found, np.uint64).view(np.int64))
-            more = [pa.array(keys, pa.binary()), pa.array(sizes, pa.int64()), pa.array(bands, pa.list_(pa.int64()))] if how.bands else []
-            yield pa.RecordBatch.from_arrays([batch.column(0), prints, *more], ["doc_id", "print", "key", "size", "bands"][: 2 + len(more)])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], prints], [*batch.schema.names[:-1], "print"])
 
     return run
 
 
-def fingerprints(docs: DataFrame, how: Search = EXACT, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """doc_id, print long (the 64 bits); with bands also what `similar` needs."""
-    plain = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    return plain.mapInArrow(_prints(how), "doc_id long, print long" + (", key binary, size long, bands array<long>" if how.bands else ""))
-
-
-def _sets(how: Search):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            runs = [np.unique(_hashes((t or "").encode().lower().split(), how.check_words, how.seed)) for t in batch.column(0).to_pylist()]
-            columns = [pa.array(map(set_key, runs), pa.binary()), pa.array((r.tobytes() for r in runs), pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, ["key", "runs"])
-
-    return run
+def fingerprints(docs: DataFrame, how: Search = EXACT, text: str = "text", doc_id: str = "doc_id", digest: Column | None = None) -> DataFrame:
+    """doc_id, print long (the 64 bits); between them the column `digest` string, if given."""
+    more = [] if digest is None else [digest.alias("digest")]
+    plain = docs.select(F.col(doc_id).cast("long").alias("doc_id"), *more, F.col(text).alias("text"))
+    return plain.mapInArrow(_prints(how), "doc_id long, " + ("digest string, " if more else "") + "print long")
 
 
 def _shards(how: Search) -> Column:
@@ -221,34 +196,38 @@ def _search(how: Search):
     return run
 
 
+def _links(members: DataFrame, how: Search) -> DataFrame:
+    """Links (a, b) between the nodes of `members` (print, node), whose prints differ from each other."""
+    spread = members.select(_shards(how).alias("shard"), "print", "node")
+    return spread.repartition("shard").sortWithinPartitions("shard", "print").mapInArrow(_search(how), "a long, b long")
+
+
 def near_components(docs: DataFrame, how: Search = EXACT, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """doc_id, fingerprint (16 hex digits) and component_id of every row."""
     prints = written(fingerprints(docs, how, text, doc_id), "prints")
-    key = "key" if how.bands else "print"
     node = F.coalesce(F.min("doc_id"), F.lit(NO_ID)).alias("node")
-    members = prints.groupBy(key).agg(node, *(F.first(c).alias(c) for c in ("size", "bands") if how.bands))
-    members = written(members, "print-members")
-    if how.bands:
-        texts = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID)).alias("node"), F.col(text).alias("text"))
-        wanted = lambda nodes: texts.join(nodes, "node", "left_semi").select("text").mapInArrow(_sets(how), "key binary, runs binary")
-        named = similar_components(members, wanted, how.similarity)
-    else:
-        spread = members.select(_shards(how).alias("shard"), "print", "node")
-        links = spread.repartition("shard").sortWithinPartitions("shard", "print").mapInArrow(_search(how), "a long, b long")
-        named = members.join(components(links), "node", "left")
-    named = named.select(key, F.coalesce("component", "node").alias("component_id"))
-    joined = prints.join(named, key)
+    members = written(prints.groupBy("print").agg(node), "print-members")
+    named = members.join(components(_links(members, how)), "node", "left")
+    named = named.select("print", F.coalesce("component", "node").alias("component_id"))
+    joined = prints.join(named, "print")
     component = F.when(F.col("component_id") != NO_ID, F.col("component_id"))
     digits = F.lower(F.lpad(F.hex("print"), 16, "0"))
     return joined.select("doc_id", digits.alias("fingerprint"), component.alias("component_id"))
 
 
-def one_of_each(docs: DataFrame, how: Search = SIMILAR, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """The rows of `docs` without near copies: of each component the row with the smallest doc_id. Rows without doc_id stay."""
-    stays = near_components(docs.filter(F.col(doc_id).isNotNull()), how, text, doc_id)
-    stays = written(stays.filter("doc_id = component_id").select(F.col("doc_id").alias("stays")).distinct(), "print-stays")
-    kept = docs.join(stays, F.col(doc_id) == F.col("stays"), "left_semi").dropDuplicates([doc_id])
-    return kept.unionByName(docs.filter(F.col(doc_id).isNull()))
+def one_of_each(docs: DataFrame, how: Search = EXACT, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """One row of `docs` for each component."""
+    digest = F.md5(F.to_json(F.struct(*(F.col(f"`{c}`") for c in docs.columns))))
+    prints = fingerprints(docs, how, text, doc_id, digest)
+    best = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "digest")).alias("best")
+    members = written(prints.groupBy("print").agg(best).withColumn("node", F.col("print")), "print-members")
+    named = members.join(components(_links(members, how)), "node", "left")
+    stays = named.groupBy(F.coalesce("component", "node").alias("component")).agg(F.min("best").alias("best"))
+    own = with_suffix(docs.columns, "row_digest")
+    stays = written(stays.select(F.col("best.digest").alias(own)), "print-stays")
+    # Equal rows become one before the join, so that no digest has more than one row.
+    rows = docs.withColumn(own, digest).dropDuplicates([own])
+    return rows.join(stays, own, "left_semi").select(*(f"`{c}`" for c in docs.columns))
 
 
 ORACLE = None

@@ -20,7 +20,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: runs of five words with a similarity of 0.8 or more."""
+    """One document of each group whose SimHash fingerprints link at two bits or fewer, over runs of three words."""
     return simhash.one_of_each(docs)
 
 

@@ -11,7 +11,7 @@ import pytest
 import xxhash
 from tokenizers import Tokenizer
 
-from cases import documents, frame, plain
+from cases import documents, frame, plain, words
 from connlens.llm import components, neighbours, rans, secrets, simhash, substrings, tokenfiles
 from connlens.llm.plans import QUERIES
 
@@ -254,21 +254,26 @@ def test_components_of_chains_and_stars(spark):
     assert components.components(spark.createDataFrame([], "a long, b long")).collect() == []
 
 
-def jaccard(a, b, n=5):
-    runs = [{tuple(x[i : i + n]) for i in range(max(1, len(x) - n + 1))} for x in (split((t or "").lower()) for t in (a, b))]
-    return len(runs[0] & runs[1]) / len(runs[0] | runs[1])
-
-
 def test_one_of_each(spark):
     table = frame(spark)
     kept = simhash.one_of_each(table)
     assert kept.columns == table.columns
-    ids = Counter(r.doc_id for r in kept.collect())
-    texts = {r[0]: r[1] for r in documents()}
-    gone = [i for i in texts if i is not None and i not in ids]
-    assert set(gone) >= {13, 14, 15, 16, 17} and max(n for i, n in ids.items() if i is not None) == 1
-    assert all(any(jaccard(texts[i], texts[j]) >= 0.7 for j in ids if j is not None) for i in gone)
-    assert ids[None] == 2  # rows without a name stay
+    rows = list(dict.fromkeys(documents()))
+    prints = [plain_print(r[1]) for r in rows]
+    links = [(i, j) for i in range(len(rows)) for j in range(i) if (prints[i] ^ prints[j]).bit_count() <= 2]
+    groups = defaultdict(list)
+    for i, g in plain_components(links, range(len(rows))).items():
+        groups[g].append(rows[i][0])
+    wanted = [min(g, key=lambda i: (i is None, i or 0)) for g in groups.values()]
+    assert Counter(r.doc_id for r in kept.collect()) == Counter(wanted)
+    assert simhash.one_of_each(frame(spark, [])).collect() == []
+
+
+def test_texts_that_share_an_id_stay(spark):
+    first, second, third = (" ".join(words(i, 80)) for i in (1, 2, 3))
+    rows = [(1, first), (1, second), (2, third), (2, third), (None, third), (0, second), (None, None), (1, "")]
+    kept = simhash.one_of_each(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(map(tuple, kept.collect())) == [(0, second), (1, ""), (1, first), (2, third)]
 
 
 # Repeated passages
