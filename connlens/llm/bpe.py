@@ -2,11 +2,12 @@
 
 Encoding. A partition splits its texts into the pieces that merge separately (`pretokens`) and gives each piece that its worker
 hasn't met lately to a recursive DuckDB query. There, token positions join the merge table and each word's leftmost pair of the
-lowest rank is contracted, until no pair of any word is in the table. Long words contract all pairs of the lowest rank at once
-where the merge table shows that no token which such a merge can lead to has a lower rank; the outcome is the same.
+lowest rank is contracted, until no pair of any word is in the table. A word's tokens are a string with one character for each id, which
+the queries cut and join faster than lists. Words of over 64 bytes are lists; they contract all pairs of the lowest rank at once
+where the merge table shows that no token which such a merge can lead to has a lower rank. That is a matter of speed, the outcome is the same.
 
-Decoding. Ids join the vocabulary, and an aggregation ordered by position puts their bytes together. Sequences are cut before
-ids whose bytes begin with a blank, so that equal stretches are decoded once.
+Decoding. Ids join the vocabulary, and an aggregation ordered by position puts their bytes together. Sequences are cut
+where letters, digits and other bytes meet and before blanks, so that equal stretches are decoded once.
 
 Nothing is shuffled: each row is encoded where it is read. Broadcast are the vocabulary and its merge table, which have the size
 of the vocabulary file, whatever the data. A worker holds one slice of texts (`pretokens.SLICE_CHARS` characters, or one longer
@@ -35,7 +36,7 @@ from connlens.llm.memo import Memo
 #: Words of more bytes than this contract many pairs at a time.
 LONG_WORD = 64
 #: Words, and bytes of words, that one recursive query takes.
-WORDS_PER_QUERY, BYTES_PER_QUERY = 20_000, 400_000
+WORDS_PER_QUERY, BYTES_PER_QUERY = 50_000, 1_000_000
 
 
 @dataclass(frozen=True)
@@ -78,12 +79,12 @@ _SHORT = """
 WITH RECURSIVE word(w, toks) USING KEY (w) AS (
     SELECT w, toks FROM given
     UNION
-    SELECT w, toks[:spot - 1] || [merged] || toks[spot + 2:]
+    SELECT w, substr(toks, 1, spot - 1) || chr(merged + CASE WHEN merged < 55040 THEN 256 ELSE 2304 END) || substr(toks, spot + 2)
     FROM (
         SELECT w, any_value(toks) AS toks, min(merged::BIGINT * 4294967296 + pos) AS lowest,
                (lowest // 4294967296)::INTEGER AS merged, (lowest % 4294967296)::INTEGER AS spot
-        FROM (SELECT w, toks, unnest(range(1, len(toks))) AS pos FROM word)
-        JOIN merges ON l = toks[pos] AND r = toks[pos + 1]
+        FROM (SELECT w, toks, unnest(range(1, length(toks))) AS pos FROM word)
+        JOIN merges ON pair = substr(toks, pos, 2)
         GROUP BY w
     )
 )
@@ -132,6 +133,23 @@ def _lists(values: np.ndarray, lengths: list[int]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
 
 
+def _signs(ids: np.ndarray) -> str:
+    """One character for each id: 256 above it (none is NUL), and beyond the surrogates."""
+    points = ids.astype(np.int64) + np.where(ids < 0xD800 - 256, 256, 256 + 0x800)
+    return points.astype("<u4").tobytes().decode("utf-32-le")
+
+
+def _unsigned(signs: str) -> np.ndarray:
+    """The ids that `_signs` wrote."""
+    points = np.frombuffer(signs.encode("utf-32-le"), "<u4").astype(np.int64)
+    return (points - np.where(points < 0xD800, 256, 256 + 0x800)).astype("<i4")
+
+
+def _cut(flat: str | bytes, lengths: list[int]) -> list:
+    ends = np.cumsum(lengths).tolist()
+    return [flat[e - n : e] for e, n in zip(ends, lengths, strict=True)]
+
+
 def _blocks(sizes: list[int]) -> Iterator[tuple[int, int]]:
     start = total = 0
     for i, size in enumerate(sizes):
@@ -152,7 +170,9 @@ class Codec:
         # Without a folder to spill to: its tables are bounded by one block of words.
         self.connection = duckdb.connect(config={"threads": 1, "memory_limit": "500MB", "temp_directory": ""})
         v = vocabulary
-        table = pa.table({"l": v.left, "r": v.right, "merged": v.merged, "together": pa.array(v.together)})
+        pairs = _cut(_signs(np.stack([v.left, v.right], axis=1).ravel()), [2] * len(v.left))
+        columns = {"pair": pa.array(pairs, pa.string()), "l": v.left, "r": v.right, "merged": v.merged, "together": pa.array(v.together)}
+        table = pa.table(columns)
         # Bytes as characters of the same number: only text can be aggregated in order.
         words = pa.table({"id": v.ids, "piece": pa.array([t.decode("latin-1") for t in v.tokens], pa.string())})
         for name, arrow in (("merges", table), ("vocabulary", words)):
@@ -163,8 +183,11 @@ class Codec:
         by_token = dict(zip(v.tokens, v.ids.tolist(), strict=True))
         self.single = np.array([by_token.get(bytes([b]), -1) for b in range(256)], np.int32)
         self.size = int(v.ids.max(initial=-1)) + 1
-        self.blank = np.zeros(self.size, bool)
-        self.blank[[i for t, i in by_token.items() if t.startswith(b" ")]] = True
+        # Stretches begin where the kind of the bytes changes, as words do, and before blanks.
+        kind = np.array([1 if chr(b).isalpha() or b >= 0x80 else 2 if chr(b).isdigit() else 0 for b in range(256)], np.uint8)
+        self.first, self.last = np.zeros(self.size, np.uint8), np.zeros(self.size, np.uint8)
+        for token, i in by_token.items():
+            self.first[i], self.last[i] = 3 if token.startswith(b" ") else kind[token[0]], kind[token[-1]]
         self.ids_of, self.bytes_of = Memo(self._contract), Memo(self._join)
 
     def _run(self, query: str, given: pa.Table) -> pa.Array:
@@ -184,12 +207,15 @@ class Codec:
             for start, end in _blocks([len(data[i]) for i in chosen]):
                 part = chosen[start:end]
                 flat = self.single[np.frombuffer(b"".join(data[i] for i in part), np.uint8)]
-                toks = _lists(flat, [len(data[i]) for i in part])
-                found = self._run(query, pa.table({"w": np.arange(len(part), dtype=np.int32), "toks": toks}))
-                values, offsets = found.flatten().to_numpy().astype("<i4").tobytes(), found.offsets.to_numpy() * 4
-                offsets = offsets - offsets[0]
-                for i, a, b in zip(part, offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
-                    out[i] = values[a:b]
+                lengths, w = [len(data[i]) for i in part], np.arange(len(part), dtype=np.int32)
+                if query is _SHORT:
+                    signs = self._run(query, pa.table({"w": w, "toks": pa.array(_cut(_signs(flat), lengths), pa.string())})).to_pylist()
+                    values, sizes = _unsigned("".join(signs)).tobytes(), [4 * len(x) for x in signs]
+                else:
+                    found = self._run(query, pa.table({"w": w, "toks": _lists(flat, lengths)}))
+                    values, sizes = found.flatten().to_numpy().astype("<i4").tobytes(), (4 * np.diff(found.offsets.to_numpy())).tolist()
+                for i, ids in zip(part, _cut(values, sizes), strict=True):
+                    out[i] = ids
         return out
 
     def _join(self, stretches: list[bytes]) -> list[bytes]:
@@ -208,7 +234,7 @@ class Codec:
         if len(words) == 0:
             return np.zeros(0, np.int32), counts
         coded = words.dictionary_encode()
-        answers = pa.array(self.ids_of.many(coded.dictionary.to_pylist()), pa.large_binary())
+        answers = pa.array(self.ids_of.many(pretokens.listed(coded.dictionary)), pa.large_binary())
         taken = answers.take(coded.indices)
         ends = np.frombuffer(taken.buffers()[1], np.int64)[: len(taken) + 1] // 4
         ids = np.frombuffer(taken.buffers()[2], "<i4")[: ends[-1]]
@@ -221,7 +247,8 @@ class Codec:
             return memoryview(b""), np.zeros(len(counts), np.int64)
         if ids.min() < 0 or ids.max() >= self.size:
             raise ValueError("an id is outside the vocabulary")
-        start = self.blank[ids]
+        start = np.ones(len(ids), bool)
+        start[1:] = self.first[ids[1:]] != self.last[ids[:-1]]
         ends = np.cumsum(counts)
         begins = ends - counts
         start[begins[counts > 0]] = True
@@ -230,7 +257,7 @@ class Codec:
         data = pa.py_buffer(np.ascontiguousarray(ids, "<i4"))
         stretches = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(cut), [None, offsets, data])
         coded = stretches.dictionary_encode()
-        taken = pa.array(self.bytes_of.many(coded.dictionary.to_pylist()), pa.large_binary()).take(coded.indices)
+        taken = pa.array(self.bytes_of.many(pretokens.listed(coded.dictionary)), pa.large_binary()).take(coded.indices)
         places = np.frombuffer(taken.buffers()[1], np.int64)[: len(taken) + 1]
         borders = places[np.searchsorted(cut, np.append(begins, len(ids)))]
         return memoryview(taken.buffers()[2] or b"")[: places[-1]], np.diff(borders)

@@ -71,6 +71,11 @@ def slices(texts: list[str], limit: int = SLICE_CHARS) -> Iterator[tuple[int, in
         yield start, len(texts)
 
 
+def listed(values: pa.Array) -> list:
+    """The values of an array without nulls; for many short texts faster than to_pylist."""
+    return values.to_numpy(zero_copy_only=False).tolist()
+
+
 def pieces(texts: list[str], classes: np.ndarray) -> tuple[pa.StringArray, np.ndarray]:
     """All pieces of the texts in order, and the number of pieces of each text. An empty text has none."""
     whole = "".join(texts)
