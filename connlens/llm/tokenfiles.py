@@ -8,7 +8,8 @@ commits the files, so that a task that is repeated leaves no second copy. A docu
 
 Texts are cut at the added tokens of the file first, as the library does: such a token is one id wherever its string stands. Of the
 rest, a worker encodes each different piece (`pretokens`) once, as far as its memory of pieces reaches: the library splits at the
-same borders, and pieces without white space reach it many at a time, with line feeds between them.
+same borders. New pieces reach it many at a time: those of a blank and a word as they are, since only their first token begins with a
+blank, others without white space with line feeds between them.
 
 Reading. Segments are decoded block by block, in parallel. Where a document starts follows from the ids before it in its segment, the
 ids before the segment in its shard, and the sums of the shards before.
@@ -85,7 +86,12 @@ class Encoder:
         # Of tokens that begin at the same place the longest counts.
         self.cut = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")") if added else None
         self.classes = classes
+        if hasattr(self.tokenizer.model, "_resize_cache"):
+            self.tokenizer.model._resize_cache(0)  # it only meets pieces that are new
         self.feed = self._ids("\n")
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.blank = np.zeros(max(vocabulary.values(), default=-1) + 1, bool)  # a blank is written so by byte-level tokenizers
+        self.blank[[i for t, i in vocabulary.items() if t.startswith("\u0120")]] = True
         self.known = Memo(self._new, KNOWN_PIECES)
 
     def _ids(self, text: str) -> list[int]:
@@ -93,17 +99,26 @@ class Encoder:
 
     def _new(self, pieces: list[str]) -> list[bytes]:
         out: list[bytes] = [b""] * len(pieces)
+        simple = [i for i, p in enumerate(pieces) if not p[-1].isspace() and "\n" not in p]
+        led = [i for i in simple if pieces[i][0] == " " and " " not in pieces[i][1:]] if self.blank.any() else []
         # A line feed is a piece of its own between pieces that hold none.
-        simple = [i for i, p in enumerate(pieces) if not p[-1].isspace() and "\n" not in p] if len(self.feed) == 1 else []
-        for start in range(0, len(simple), 2_000):
-            part = simple[start : start + 2_000]
-            ids = np.array(self._ids("\n".join(pieces[i] for i in part)), np.int32)
-            cut = np.concatenate([[-1], np.flatnonzero(ids == self.feed[0]), [len(ids)]])
-            if len(cut) != len(part) + 1:
-                raise ValueError("the tokenizer doesn't keep pieces apart")
-            data = ids.tobytes()
-            for i, a, b in zip(part, (cut[:-1] + 1).tolist(), cut[1:].tolist(), strict=True):
-                out[i] = data[4 * a : 4 * b]
+        fed = sorted(set(simple).difference(led)) if len(self.feed) == 1 else []
+        simple = led + fed
+        for chosen, between in ((led, ""), (fed, "\n")):
+            for start in range(0, len(chosen), 2_000):
+                part = chosen[start : start + 2_000]
+                ids = np.array(self._ids(between.join(pieces[i] for i in part)), np.int32)
+                if between:
+                    after = np.flatnonzero(ids == self.feed[0])
+                    begins, ends = np.append(0, after + 1), np.append(after, len(ids))
+                else:
+                    begins = np.flatnonzero(self.blank[ids])
+                    ends = np.append(begins[1:], len(ids))
+                if len(begins) != len(part) or begins[0] != 0:
+                    raise ValueError("the tokenizer doesn't keep pieces apart")
+                data = ids.tobytes()
+                for i, a, b in zip(part, begins.tolist(), ends.tolist(), strict=True):
+                    out[i] = data[4 * a : 4 * b]
         for i in set(range(len(pieces))).difference(simple):
             out[i] = np.array(self._ids(pieces[i]), np.int32).tobytes()
         return out
@@ -127,7 +142,7 @@ class Encoder:
         if len(pieces) == 0:
             return np.zeros(0, np.int32), counts
         coded = pieces.dictionary_encode()
-        answers = pa.array(self.known.many(coded.dictionary.to_pylist()), pa.large_binary())
+        answers = pa.array(self.known.many(pretokens.listed(coded.dictionary)), pa.large_binary())
         taken = answers.take(coded.indices)
         ends = np.frombuffer(taken.buffers()[1], np.int64)[: len(taken) + 1] // 4
         ids = np.frombuffer(taken.buffers()[2], np.int32)[: ends[-1]]
