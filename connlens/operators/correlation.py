@@ -25,8 +25,17 @@ from connlens.sources.tables import spread_if_few
 BLOCK_CELLS = 1_000_000
 
 _SUMS = "a int, b int, total double"
-_BLOCKS = "block long, x binary"
-_ASKED = "block long, feature int, value double, n long"
+_BLOCKS = "block long, distinct binary, starts array<int>, width int, places binary"
+_BLOCK = pa.schema(
+    [("block", pa.int64()), ("distinct", pa.binary()), ("starts", pa.list_(pa.int32())), ("width", pa.int32()), ("places", pa.binary())]
+)
+_ASKED = "block long, feature int, value double, place int, n long"
+# Row groups of a few blocks, whose size the writer looks at after each of them.
+_SMALL_GROUPS = {
+    "parquet.block.size": 16 << 20,
+    "parquet.enable.dictionary": "false",
+    **{f"parquet.{part}.size.row.check.{end}": 1 for part in ("block", "page") for end in ("min", "max")},
+}
 
 
 def _vectors(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -119,55 +128,68 @@ def pearson_matrix(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def _blocks(rows: DataFrame, size: int, cells: int) -> DataFrame:
-    """(block, x): the complete rows as matrices of ``cells`` numbers at most, written once.
+    """(block, distinct, starts, width, places): the complete rows in blocks of ``cells`` numbers at most, written once.
 
-    All later steps read the written blocks, so that they agree on them when executors are lost.
+    A block holds the distinct values of its columns one after the other, where each column begins there, and for each number its
+    place among the values of its column, in ``width`` bytes. All later steps read the written blocks, so that
+    they agree on them when executors are lost.
     """
     most = max(1, cells // size)
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number, held = TaskContext.get().partitionId() << 33, np.empty((0, size))
+        number, held, n = TaskContext.get().partitionId() << 33, [], 0
         for batch in batches:
             x = batch.column("x").flatten().to_numpy(zero_copy_only=False).reshape(-1, size)
-            held = np.concatenate([held, x[~np.isnan(x).any(axis=1)] + 0.0])  # -0.0 and 0.0 are one value
-            while len(held) >= most:
-                yield _packed(number, held[:most])
-                number, held = number + 1, held[most:]
-        if len(held):
-            yield _packed(number, held)
+            x = x[~np.isnan(x).any(axis=1)] + 0.0  # -0.0 and 0.0 are one value
+            while n + len(x) >= most:
+                yield _packed(number, np.concatenate([*held, x[: most - n]]))
+                x, number, held, n = x[most - n :], number + 1, [], 0
+            held.append(x)
+            n += len(x)
+        if n:
+            yield _packed(number, np.concatenate(held))
 
     blocks = rows.select("x").mapInArrow(pack, _BLOCKS)
-    return write_result(blocks, new_scratch_path(rows.sparkSession, "blocks"))
+    # A parquet writer would hold a hundred blocks before it looks at their size, and a reader then all of them.
+    return write_result(blocks, new_scratch_path(rows.sparkSession, "blocks"), options=_SMALL_GROUPS)
 
 
 def _packed(number: int, x: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array([number], pa.int64()), pa.array([x.tobytes()], pa.binary())], names=["block", "x"]
-    )
+    found = [np.unique(column, return_inverse=True) for column in x.T]
+    starts = np.cumsum([0, *(len(values) for values, _ in found)]).tolist()
+    width = 2 if len(x) <= 1 << 16 else 4
+    places = b"".join(place.astype(f"u{width}").tobytes() for _, place in found)
+    distinct = np.concatenate([values for values, _ in found]).tobytes()
+    row = {"block": number, "distinct": distinct, "starts": starts, "width": width, "places": places}
+    return pa.RecordBatch.from_pylist([row], schema=_BLOCK)
 
 
-def _unpacked(matrix: bytes, size: int) -> np.ndarray:
-    return np.frombuffer(matrix).reshape(-1, size)
+def _unpacked(blocks: pa.RecordBatch | pa.Table, i: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of block ``i``: where its columns begin among the distinct values, and one row of places for each column."""
+    starts, data, width = (blocks.column(c)[i].as_py() for c in ("starts", "places", "width"))
+    return np.array(starts), np.frombuffer(data, f"u{width}").reshape(len(starts) - 1, -1)
 
 
-def _asked(blocks: DataFrame, size: int) -> DataFrame:
-    """(block, feature, value, n): the distinct values of each column of each block."""
+def _asked(blocks: DataFrame) -> DataFrame:
+    """(block, feature, value, place, n): the distinct values of each column of each block, ``place`` over all its columns."""
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for number, matrix in zip(batch.column("block").to_pylist(), batch.column("x")):
-                x = _unpacked(matrix.as_py(), size)
-                for position in range(size):
-                    values, n = np.unique(x[:, position], return_counts=True)
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(np.full(len(values), number)),
-                            pa.array(np.full(len(values), position, dtype=np.int32)),
-                            pa.array(values),
-                            pa.array(n.astype(np.int64)),
-                        ],
-                        names=["block", "feature", "value", "n"],
-                    )
+            for i in range(batch.num_rows):
+                starts, places = _unpacked(batch, i)
+                number, values = batch.column("block")[i].as_py(), np.frombuffer(batch.column("distinct")[i].as_py())
+                many = np.diff(starts)
+                n = [np.bincount(p, minlength=w) for p, w in zip(places, many, strict=True)]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(np.full(len(values), number)),
+                        pa.array(np.repeat(np.arange(len(many), dtype=np.int32), many)),
+                        pa.array(values),
+                        pa.array(np.arange(len(values), dtype=np.int32)),
+                        pa.array(np.concatenate(n).astype(np.int64)),
+                    ],
+                    names=["block", "feature", "value", "place", "n"],
+                )
 
     return blocks.mapInArrow(ask, _ASKED)
 
@@ -202,16 +224,13 @@ def value_ranks(asked: DataFrame) -> DataFrame:
 
 
 def _ranked_sums(blocks: DataFrame, answers: DataFrame, size: int, centre: float) -> DataFrame:
-    """The cross-product sums of the ranks: ``answers`` has the rank of every value of every block."""
+    """The cross-product sums of the ranks: ``answers`` has the rank of every place of every block."""
 
     def sums(key, block: pa.Table, answer: pa.Table) -> pa.Table:
-        x = _unpacked(block.column("x")[0].as_py(), size).copy()
-        feature, value, rank = (answer.column(c).to_numpy() for c in ("feature", "value", "rank"))
-        order = np.lexsort((value, feature))
-        ends = np.searchsorted(feature[order], np.arange(size + 1))
-        for position, (start, end) in enumerate(zip(ends, ends[1:])):
-            own = order[start:end]
-            x[:, position] = rank[own][np.searchsorted(value[own], x[:, position])]
+        starts, places = _unpacked(block, 0)
+        ranks = np.empty(starts[-1])
+        ranks[answer.column("place").to_numpy()] = answer.column("rank").to_numpy()
+        x = np.column_stack([ranks[start:end][p] for start, end, p in zip(starts, starts[1:], places)])
         x = np.column_stack([x - centre, np.ones(len(x))])
         total = x.T @ x
         a, b = np.triu_indices(size + 1)
@@ -238,11 +257,11 @@ def spearman_matrix(df: DataFrame, columns: list[str], cells: int = BLOCK_CELLS)
     """
     size = len(columns)
     blocks = _blocks(_vectors(df, columns), size, cells)
-    asked = _asked(blocks, size)
+    asked = _asked(blocks)
     ranks = write_result(value_ranks(asked), new_scratch_path(df.sparkSession, "ranks"))
     total = ranks.filter("feature = 0").agg(F.sum("n")).first()[0] or 0
     answers = asked.join(ranks.select("feature", "value", "rank"), ["feature", "value"]).select(
-        "block", "feature", "value", "rank"
+        "block", "place", "rank"
     )
     return _matrix(_ranked_sums(blocks, answers, size, (total + 1) / 2), columns)
 

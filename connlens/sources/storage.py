@@ -64,10 +64,14 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def write_result(
-    df: DataFrame, path: str, partition_by: list[str] | None = None, mode: str = "errorifexists"
+    df: DataFrame,
+    path: str,
+    partition_by: list[str] | None = None,
+    mode: str = "errorifexists",
+    options: dict[str, object] | None = None,
 ) -> DataFrame:
-    """Write a table as parquet and return the written copy."""
-    writer = df.write.mode(mode)
+    """Write a table as parquet, with ``options`` of the writer, and return the written copy."""
+    writer = df.write.mode(mode).options(**(options or {}))
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)

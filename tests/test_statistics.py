@@ -1,5 +1,6 @@
 import numpy as np
 import pandas as pd
+import pyarrow.parquet as pq
 import pytest
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.stat import ChiSquareTest
@@ -117,3 +118,12 @@ def test_chi_square_has_no_category_limit(spark):
     row = X.chi_square(table, ["x"], "label").first()
     assert row.dof == 11_999 and row.statistic == pytest.approx(12_000)
     assert row.p_value == pytest.approx(0.4957, abs=1e-3)
+
+
+def test_blocks_lie_in_small_row_groups(spark):
+    """A writer doesn't hold all blocks of its task until the end, nor a reader a whole file."""
+    names = [f"c{i}" for i in range(10)]
+    rows = spark.range(0, 400_000, 1, 1).select(*[F.rand(i).alias(c) for i, c in enumerate(names)])
+    blocks = C._blocks(C._vectors(rows, names), len(names), 1_000_000)
+    files = [pq.ParquetFile(f.removeprefix("file:")) for f in blocks.inputFiles()]
+    assert [(f.num_row_groups >= 2, f.metadata.num_rows) for f in files] == [(True, 4)]
