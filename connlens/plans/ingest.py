@@ -66,10 +66,14 @@ def _parse_interactions(spark, folder):
 
 
 def damaged_text(lines: DataFrame) -> DataFrame:
-    """Interaction lines, some of them damaged by a rule over their own fields."""
+    """Interaction lines, some of them damaged by a rule over their own fields.
+
+    The fields come out of a generator, so that a line is split once and not for every rule.
+    """
     fields = F.split("value", ",")
-    flag, rate = field_at(fields, 3), field_at(fields, 26).cast("double")
-    hot = field_at(fields, 9)
+    chosen = F.struct(*[field_at("fields", p).alias(n) for n, p in (("flag", 3), ("rate", 26), ("hot", 9))])
+    lines = lines.select("value", F.explode(F.array(fields)).alias("fields")).select("value", F.inline(F.array(chosen)))
+    flag, rate, hot = F.col("flag"), F.col("rate").cast("double"), F.col("hot")
     line = F.col("value")
     damaged = (
         F.when((flag == "REJ") & (hot == "0"), F.lit("  "))

@@ -10,7 +10,8 @@ from connlens.fields import FIELD_NAMES, INTERACTION_SCHEMA, LABEL, NARROW_FIELD
 from connlens.functions import class_name, field_at
 
 # Java reads "1d" and "2f" as numbers; in a text record they are bad input.
-_SUFFIXED_NUMBER = r"[0-9.][dDfF]\s*$"
+_SUFFIXED = r"[0-9.][dDfF]"
+_SUFFIXED_NUMBER = _SUFFIXED + r"\s*$"
 _REGEX_SIGNS = ".$|()[{^?*+\\"
 
 
@@ -85,14 +86,23 @@ def parse_outcome(
     """Typed columns plus the line and ``reason``: null for a good line, else what is wrong.
 
     With ``labels``, a last field that is none of them is wrong.
+
+    A line is split and typed once: the typed columns come out of a generator, below which the optimizer moves no filter.
+    Otherwise a filter on the reason would split the line again for each field that the reason looks at. Numbers are searched for a
+    suffix only in lines that have one somewhere.
     """
     parsed = parse_fields(df.select(value), sep, value)
-    typed = parsed.select(value, F.size("fields").alias("arity"), "fields", *_typed(schema))
+    split = F.struct(
+        F.size("fields").alias("arity"), F.col("fields"), F.col(value).rlike(_SUFFIXED).alias("suffixed")
+    )
+    parsed = parsed.select(F.col(value).alias("line"), F.inline(F.array(split)))
+    typed = parsed.select("line", "arity", "fields", "suffixed", F.struct(*_typed(schema)).alias("record"))
+    typed = typed.select("line", "arity", "fields", "suffixed", F.explode(F.array("record")).alias("record"))
 
     def unreadable(position: int, field: T.StructField) -> Column:
-        bad = F.col(field.name).isNull()
+        bad = F.col("record")[field.name].isNull()
         if isinstance(field.dataType, T.DoubleType):
-            bad = bad | field_at("fields", position).rlike(_SUFFIXED_NUMBER)
+            bad = bad | (F.col("suffixed") & field_at("fields", position).rlike(_SUFFIXED_NUMBER))
         return bad
 
     numbers = [
@@ -102,15 +112,15 @@ def parse_outcome(
     ]
     first_bad = F.coalesce(*numbers) if numbers else F.lit(None).cast("string")
     reason = (
-        F.when(F.trim(value) == "", "empty line")
+        F.when(F.trim("line") == "", "empty line")
         .when(F.col("arity") < len(schema), "too few fields")
         .when(F.col("arity") > len(schema), "too many fields")
         .when(first_bad.isNotNull(), F.concat(F.lit("bad number: "), first_bad))
     )
     if labels is not None:
-        known = F.col(schema.names[-1]).isin(labels)
+        known = F.col("record")[schema.names[-1]].isin(labels)
         reason = reason.when(~F.coalesce(known, F.lit(False)), "unknown label")
-    return typed.withColumn("reason", reason).select(value, "reason", *schema.names)
+    return typed.select(F.col("line").alias(value), reason.alias("reason"), "record.*")
 
 
 def split_rejects(
