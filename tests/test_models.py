@@ -159,3 +159,18 @@ def test_text_ratios(spark):
     first, empty = Q.text_ratios(table).collect()
     assert first.punctuation_ratio == pytest.approx(2 / 7)
     assert first.distinct_word_ratio == 1.0 and empty.punctuation_ratio == 0.0
+
+
+def test_linear_models_keep_their_rows_once(sides, monkeypatch):
+    """Training of a linear model keeps blocks of its own; points of trees are kept on disk, beside what training keeps."""
+    kept, plain = [], K.kept_while
+
+    def keep(df, level):
+        kept.append((level.useMemory, level.useDisk))
+        return plain(df, level)
+
+    monkeypatch.setattr(K, "kept_while", keep)
+    K.logistic_regression(sides[0], ["u", "v"])
+    assert kept == []
+    K.decision_tree(sides[0], ["u", "v"], ["colour"])
+    assert kept == [(False, True)]
