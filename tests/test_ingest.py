@@ -154,3 +154,20 @@ def test_own_scratch_tables_are_removed(spark):
     assert os.path.isdir(paths[0])
     assert clear_scratch(spark) >= 1
     assert not os.path.exists(paths[0]) and clear_scratch(spark) == 0
+
+
+def test_a_rejected_line_is_split_once(spark):
+    """A filter on the reason doesn't split the line again for each field."""
+    lines = spark.range(3).selectExpr("concat('a,b,', id) AS value")
+    for side in split_rejects(lines):
+        assert side._jdf.queryExecution().optimizedPlan().toString().count("split(") == 1
+
+
+def test_a_spread_table_has_more_partitions_with_more_stored_bytes(spark, tmp_path):
+    path = str(tmp_path / "few")
+    spark.range(0, 100_000, 1, 1).selectExpr("uuid() AS value").write.parquet(path)
+    rows = spark.read.parquet(path)
+    cores = spark.sparkContext.defaultParallelism
+    assert spread_if_few(rows).rdd.getNumPartitions() == cores
+    spread_rows = spread_if_few(rows, stored=100_000)
+    assert spread_rows.rdd.getNumPartitions() > 2 * cores and spread_rows.count() == 100_000
