@@ -7,12 +7,13 @@ other fields ("planted"): it lets a model test show that training works, nothing
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from connlens.fields import FIELD_NAMES, RATE_POSITIONS
 from connlens.sources import read_table, spread_if_few
 from connlens.sources.lines import interaction_lines
+from connlens.sources.tables import STORED_BYTES
 
 TABLE = "lineitem"
 
@@ -89,20 +90,29 @@ _KEY = (
 INTERACTION_SELECT = {**{name: _expression(name) for name in FIELD_NAMES}, KEY: _KEY}
 
 
-def interactions(spark: SparkSession, folder: str, heavy: bool = False) -> DataFrame:
+def interactions(
+    spark: SparkSession, folder: str, heavy: bool = False, stored: int = STORED_BYTES
+) -> DataFrame:
     """The typed record of every lineitem row, plus a text key. Unused columns are not read.
 
-    ``heavy`` announces dear work per row, for which a small file is spread over all cores.
+    ``heavy`` announces dear work per row, for which a small file is spread over all cores, and one of more than
+    ``stored`` bytes a core over more partitions.
     """
     rows = read_table(spark, folder, TABLE)
-    return (spread_if_few(rows) if heavy else rows).selectExpr(
+    return (spread_if_few(rows, stored) if heavy else rows).selectExpr(
         *[f"{expression} AS `{name}`" for name, expression in INTERACTION_SELECT.items()]
     )
 
 
-def interaction_text(spark: SparkSession, folder: str) -> DataFrame:
-    """The same records as text lines of 42 fields."""
-    return interaction_lines(interactions(spark, folder, heavy=True))
+def in_part(part: int, of: int) -> Column:
+    """Is a record in this one of several parts? Told by its key, so that a part is known before its lines are made."""
+    return F.pmod(F.xxhash64(KEY), F.lit(of)) == part
+
+
+def interaction_text(spark: SparkSession, folder: str, where: Column | None = None) -> DataFrame:
+    """The same records, or those that meet a condition, as text lines of 42 fields."""
+    rows = interactions(spark, folder, heavy=True)
+    return interaction_lines(rows if where is None else rows.filter(where))
 
 
 def over_interactions(sql: str) -> str:
@@ -118,9 +128,12 @@ def over_interactions(sql: str) -> str:
 _RATE_TEXT = "DECIMAL(9, 4)"
 
 
-def raw_lines(spark: SparkSession, folder: str) -> DataFrame:
-    """The records as text lines of 42 fields, the rates with four digits after the point."""
-    rows = interactions(spark, folder, heavy=True)
+def raw_lines(
+    spark: SparkSession, folder: str, where: Column | None = None, stored: int = STORED_BYTES
+) -> DataFrame:
+    """The records, or those that meet a condition, as text lines of 42 fields, the rates with four digits after the point."""
+    rows = interactions(spark, folder, heavy=True, stored=stored)
+    rows = rows if where is None else rows.filter(where)
     return interaction_lines(rows.withColumns({name: F.col(name).cast(_RATE_TEXT) for name in _RATE}))
 
 

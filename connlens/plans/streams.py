@@ -8,6 +8,7 @@ from connlens.operators.aggregates import count_by_tag
 from connlens.plans.ingest import written_lines
 from connlens.plans.roles import (
     RAW_LINE,
+    in_part,
     interaction_text,
     interactions,
     over_interactions,
@@ -34,6 +35,8 @@ from connlens.streaming import (
 
 VIEW = "stream_interactions"
 TIMEOUT = 3600
+#: Stored bytes of the table for one file of lines, where each file is a batch.
+BATCH_STORED_BYTES = 64 << 20
 
 
 def _to_table(lines, spark):
@@ -52,12 +55,11 @@ def _stream_lines(spark, folder):
 
 def _stream_follow(spark, folder):
     """Records of 42 fields that arrive in two parts; the second run goes on from the checkpoint of the first."""
-    lines = interaction_text(spark, folder)
-    early = F.pmod(F.xxhash64("value"), F.lit(3)) == 0
+    early = in_part(0, 3)
     source = new_scratch_path(spark, "follow-input")
     path, state = new_scratch_path(spark, "follow-table"), new_scratch_path(spark, "follow-state")
     for part in (early, ~early):
-        lines.filter(part).write.mode("append").text(source)
+        interaction_text(spark, folder, part).write.mode("append").text(source)
         await_stream(lines_to_table(follow_lines(spark, source), path, state, None), TIMEOUT)
     records = parse_interactions(spark.read.schema("value string").parquet(path))
     return records.groupBy("attack").agg(
@@ -84,7 +86,10 @@ def _sums():
 
 
 def _stream_micro_batch(spark, folder):
-    lines = stream_lines(spark, written_lines(spark, folder, "batch-input"), files_per_batch=1)
+    """A batch for each file. Files are plain text, which several tasks can read, and few, as each costs a batch."""
+    source = new_scratch_path(spark, "batch-input")
+    raw_lines(spark, folder, stored=BATCH_STORED_BYTES).write.text(source)
+    lines = stream_lines(spark, source, files_per_batch=1)
     path = new_scratch_path(spark, "batch-counts")
     query = batch_counts(
         lines, path, new_scratch_path(spark, "batch-state"), None, *_batch_measures()
@@ -102,10 +107,9 @@ def _stream_micro_batch(spark, folder):
 
 def _stream_lifecycle(spark, folder):
     """Start with a timed trigger, let the lines arrive in two intervals, stop."""
-    lines = raw_lines(spark, folder)
     path = new_scratch_path(spark, "timed-input")
-    early = F.pmod(F.xxhash64("value"), F.lit(2)) == 0
-    lines.filter(early).write.text(path)
+    early = in_part(0, 2)
+    raw_lines(spark, folder, early).write.option("compression", "gzip").text(path)
     counts = new_scratch_path(spark, "timed-counts")
     query = batch_counts(
         stream_lines(spark, path),
@@ -116,7 +120,7 @@ def _stream_lifecycle(spark, folder):
     )
     try:
         query.processAllAvailable()
-        lines.filter(~early).write.mode("append").text(path)
+        raw_lines(spark, folder, ~early).write.mode("append").option("compression", "gzip").text(path)
         query.processAllAvailable()
         was_active = query.isActive
     finally:
@@ -136,7 +140,7 @@ def _stream_skip_blank(spark, folder):
     lines = raw_lines(spark, folder).select(
         F.when(tag == "smurf.", F.lit("   ")).otherwise(F.col("value")).alias("value")
     )
-    lines.write.text(path)
+    lines.write.option("compression", "gzip").text(path)
     return _to_table(skip_blank(stream_lines(spark, path)), spark)
 
 

@@ -1,7 +1,10 @@
+from pathlib import Path
+
 import pytest
 
 from connlens import streaming as R
-from connlens.sources import register_view
+from connlens.plans import roles, streams
+from connlens.sources import new_scratch_path, register_view
 
 
 @pytest.fixture
@@ -121,3 +124,30 @@ def test_a_running_stream_follows_a_file(spark, folders):
     finally:
         query.stop()
     assert sorted(r.value for r in spark.read.schema("value string").parquet(sink).collect()) == ["a", "b", "c"]
+
+
+def test_files_of_the_registered_streams(spark, data, monkeypatch):
+    """Batches of one file read plain text, which several tasks can share; other lines are compressed, and so are tables of lines."""
+    paths = {}
+
+    def path_of(session, name):
+        paths[name] = new_scratch_path(session, name)
+        return paths[name]
+
+    monkeypatch.setattr(streams, "new_scratch_path", path_of)
+    streams.QUERIES["stream_micro_batch"](spark, data).collect()
+    streams.QUERIES["stream_skip_blank"](spark, data).count()
+    ends = {name: {f.name.split(".", 1)[1] for f in Path(path).glob("part-*")} for name, path in paths.items()}
+    assert ends["batch-input"] == {"txt"} and ends["blank-input"] == {"txt.gz"}
+    assert ends["stream-table"] == {"zstd.parquet"}
+
+
+def test_parts_of_the_records_are_told_before_their_lines_are_made(spark, data):
+    part = roles.in_part(0, 2)
+    halves = [roles.raw_lines(spark, data, where) for where in (part, ~part)]
+    whole = roles.raw_lines(spark, data)
+    assert all(0 < h.count() < whole.count() for h in halves)
+    assert halves[0].union(halves[1]).exceptAll(whole).isEmpty() and whole.exceptAll(halves[0].union(halves[1])).isEmpty()
+    for half in halves:
+        plan = half._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("decimal(9,4)") == whole._jdf.queryExecution().optimizedPlan().toString().count("decimal(9,4)")
