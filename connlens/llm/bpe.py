@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from connlens.llm import pretokens
-from connlens.llm.memo import Memo
+from connlens.llm.memo import Memo, give_back
 
 #: Words of more bytes than this contract many pairs at a time.
 LONG_WORD = 64
@@ -190,6 +190,12 @@ class Codec:
             self.first[i], self.last[i] = 3 if token.startswith(b" ") else kind[token[0]], kind[token[-1]]
         self.ids_of, self.bytes_of = Memo(self._contract), Memo(self._join)
 
+    def rest(self) -> None:
+        """At the end of a task: other stages need the memory of an idle worker, whose answers can be computed again."""
+        self.ids_of.forget_older()
+        self.bytes_of.forget_older()
+        give_back()
+
     def _run(self, query: str, given: pa.Table) -> pa.Array:
         self.connection.register("given", given)
         out = self.connection.sql(query).to_arrow_table().column(0).combine_chunks()
@@ -297,6 +303,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", keep: tuple[str, ...]
             for a, b in pretokens.slices(texts):
                 ids, counts = codec.encode(texts[a:b])
                 yield _with_column(batch.slice(a, b - a), [_lists(ids, counts.tolist())], ["token_ids"])
+        codec.rest()
 
     chosen = docs.select(*keep, F.col(text).alias("__text"))
     kept = docs.select(*keep).schema.fields
@@ -316,6 +323,7 @@ def decode(tokens: DataFrame, path: str, ids: str = "token_ids", keep: tuple[str
             ends = np.cumsum(sizes)
             out = pa.array([bytes(data[e - n : e]) for e, n in zip(ends.tolist(), sizes.tolist(), strict=True)], pa.binary())
             yield _with_column(batch, [out], ["decoded"])
+        codec.rest()
 
     chosen = tokens.select(*keep, F.coalesce(F.array_compact(ids), F.array().cast("array<int>")).alias("__ids"))
     kept = tokens.select(*keep).schema.fields
@@ -346,6 +354,7 @@ def round_trip(docs: DataFrame, path: str, text: str = "text", keep: tuple[str,
                 if with_ids:
                     arrays, names = [*arrays, _lists(ids, counts.tolist())], [*names, "token_ids"]
                 yield _with_column(batch.slice(a, b - a), arrays, names)
+        codec.rest()
 
     chosen = docs.select(*keep, F.col(text).alias("__text"))
     kept = docs.select(*keep).schema.fields

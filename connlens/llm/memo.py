@@ -2,8 +2,19 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Hashable, Iterable
 
+import pyarrow as pa
+
+
+def give_back() -> None:
+    """Return to the system what the allocators of this worker hold unused, where they can."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim is not None:
+        trim(0)
+
 
 class Memo:
     """Answers by key in two generations of at most `size` keys: the older one goes when the younger is full.
@@ -35,3 +46,7 @@ class Memo:
         if len(young) > self.size:
             self.old, self.young = young, {}
         return found
+
+    def forget_older(self) -> None:
+        """Give up the older generation, also where it would have served the next task."""
+        self.old = {}

@@ -64,3 +64,16 @@ def test_rows(spark, encoding):
 def test_query(spark, data, encoding):
     found = {r.doc_id: (r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in QUERIES["op1_bpe_round_trip"](spark, data).collect()}
     assert found == {r.doc_id: digests(encoding, r.text) for r in spark.read.parquet(f"{data}/documents.parquet").collect()}
+
+
+def test_an_idle_worker_forgets_older_words():
+    """Between tasks a codec holds one generation of words at most."""
+    codec = bpe.Codec(bpe.read_vocabulary(public_tokenizers.path("byte_bpe_multi_50k.tiktoken")))
+    codec.ids_of.size = codec.bytes_of.size = 3
+    first = codec.encode(["one two three four five", "six seven eight"])
+    codec.decode(*first)
+    assert codec.ids_of.old
+    codec.rest()
+    assert not codec.ids_of.old and not codec.bytes_of.old
+    again = codec.encode(["one two three four five", "six seven eight"])
+    assert again[0].tolist() == first[0].tolist()
