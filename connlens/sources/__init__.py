@@ -20,11 +20,13 @@ from connlens.sources.storage import (
 from connlens.sources.tables import (
     cache_table,
     kept,
+    kept_evenly,
     preview,
     range_source,
     register_view,
     schema_report,
     spread,
+    spread_by_rows,
     spread_if_few,
 )
 
@@ -34,6 +36,7 @@ __all__ = [
     "cut_lineage",
     "expire",
     "kept",
+    "kept_evenly",
     "narrow_interactions",
     "new_scratch_path",
     "parse_fields",
@@ -52,6 +55,7 @@ __all__ = [
     "shared_folder",
     "split_rejects",
     "spread",
+    "spread_by_rows",
     "spread_if_few",
     "write_result",
 ]

@@ -6,6 +6,7 @@ from pyspark.sql import types as T
 from connlens import fields
 from connlens.sources import (
     clear_scratch,
+    kept_evenly,
     new_scratch_path,
     parse_fields,
     parse_interactions,
@@ -16,6 +17,7 @@ from connlens.sources import (
     schema_report,
     shared_folder,
     split_rejects,
+    spread_by_rows,
     spread_if_few,
 )
 
@@ -171,3 +173,28 @@ def test_a_spread_table_has_more_partitions_with_more_stored_bytes(spark, tmp_pa
     assert spread_if_few(rows).rdd.getNumPartitions() == cores
     spread_rows = spread_if_few(rows, stored=100_000)
     assert spread_rows.rdd.getNumPartitions() > 2 * cores and spread_rows.count() == 100_000
+
+
+def test_rows_bound_the_partitions_of_a_well_compressed_table(spark, tmp_path):
+    """One value in many rows takes few bytes; the rows are dealt out all the same, whatever the number of files."""
+    cores = spark.sparkContext.defaultParallelism
+    for files in (1, 2 * cores):
+        path = f"{tmp_path}/{files}"
+        spark.range(0, 200_000, 1, files).selectExpr("1 AS n").write.parquet(path)
+        rows = spread_by_rows(spark.read.parquet(path), 5_000)
+        sizes = [r["count"] for r in rows.groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(sizes) == 200_000 and len(sizes) == 40 and max(sizes) < 5_100
+    assert spread_by_rows(spark.range(0)).rdd.getNumPartitions() == cores
+
+
+def test_a_kept_table_is_dealt_out_only_if_a_partition_is_large(spark):
+    rows = spark.range(0, 100_000, 1, 2)
+    with kept_evenly(rows, 50_000) as table:
+        assert table.rdd.getNumPartitions() == 2 and table.count() == 100_000
+    with kept_evenly(rows, 4_000) as table:
+        sizes = [r["count"] for r in table.groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(sizes) == 100_000 and max(sizes) < 4_100
+        assert table.storageLevel.useMemory and not rows.storageLevel.useMemory
+    assert not table.storageLevel.useMemory
+    with kept_evenly(rows.limit(0)) as table:
+        assert table.count() == 0

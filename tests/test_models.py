@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 from connlens.operators import classifiers as K
 from connlens.operators import evaluation as E
 from connlens.operators import features as Q
+from connlens.plans import modelling
+from connlens.sources import tables
 
 
 @pytest.fixture(scope="module")
@@ -174,3 +176,25 @@ def test_linear_models_keep_their_rows_once(sides, monkeypatch):
     assert kept == []
     K.decision_tree(sides[0], ["u", "v"], ["colour"])
     assert kept == [(False, True)]
+
+
+def test_rows_bound_what_a_task_of_training_reads(spark, data, sides, monkeypatch):
+    """Partitions follow the number of rows, not the bytes that they are stored in, nor the number of files."""
+    monkeypatch.setattr(modelling, "TASK_ROWS", 300)
+    rows = modelling._labelled(spark, data)
+    sizes = [r["count"] for r in rows.groupBy(F.spark_partition_id()).count().collect()]
+    assert max(sizes) <= 330 and len(sizes) >= sum(sizes) / 300
+
+    seen, plain = [], Q.feature_stages
+
+    def stages(df, *rest, **more):
+        seen.append(max(r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()))
+        return plain(df, *rest, **more)
+
+    monkeypatch.setattr(K, "feature_stages", stages)
+    monkeypatch.setattr(K, "kept_evenly", lambda df: tables.kept_evenly(df, 100))
+    train = sides[0].coalesce(2).select("*")
+    assert not train.storageLevel.useMemory
+    K.logistic_regression(train, ["u", "v"])
+    K.decision_tree(train, ["u", "v"], ["colour"])
+    assert max(seen) <= 110
