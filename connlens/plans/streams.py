@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from connlens.fields import FIELD_NAMES
 from connlens.operators.aggregates import count_by_tag
 from connlens.plans.ingest import written_lines
 from connlens.plans.roles import (
@@ -67,14 +68,33 @@ def _stream_follow(spark, folder):
     )
 
 
+def _label(fields: int = len(FIELD_NAMES)):
+    """The label of a line, its last field if it has as many fields as a record: then no other field is cut out.
+
+    Any other line is split: the label is the field at that place, or null where there is none.
+    """
+    last = F.substring_index("value", ",", -1)
+    ends = F.octet_length(F.substring_index("value", ",", fields - 1)) + 1 + F.octet_length(last)
+    return F.when(ends == F.octet_length("value"), last).otherwise(F.get(F.split("value", ","), F.lit(fields - 1)))
+
+
+def _measured(lines):
+    """(chars, duration, normal) of every line, made once, before the measures of a batch use them several times."""
+    labelled = lines.select("value", _label().alias("label"))
+    # The first field of a line without a label may be any other field.
+    duration = F.when(F.col("label").isNotNull(), F.substring_index("value", ",", 1).cast("long"))
+    return labelled.select(
+        F.length("value").alias("chars"), duration.alias("duration"), (F.col("label") == "normal.").alias("normal")
+    )
+
+
 def _batch_measures():
-    """What can be added up over batches: characters, and the durations by label class."""
-    fields = F.split("value", ",")
-    duration, normal = F.get(fields, F.lit(0)).cast("long"), F.get(fields, F.lit(41)) == "normal."
+    """What can be added up over batches of measured lines: characters, and the durations by label class."""
+    normal = F.col("normal")
     return (
-        F.sum(F.length("value")).alias("chars"),
-        F.sum(F.when(normal, duration)).alias("normal_duration"),
-        F.sum(F.when(~normal, duration)).alias("attack_duration"),
+        F.sum("chars").alias("chars"),
+        F.sum(F.when(normal, F.col("duration"))).alias("normal_duration"),
+        F.sum(F.when(~normal, F.col("duration"))).alias("attack_duration"),
     )
 
 
@@ -89,7 +109,7 @@ def _stream_micro_batch(spark, folder):
     """A batch for each file. Files are plain text, which several tasks can read, and few, as each costs a batch."""
     source = new_scratch_path(spark, "batch-input")
     raw_lines(spark, folder, stored=BATCH_STORED_BYTES).write.text(source)
-    lines = stream_lines(spark, source, files_per_batch=1)
+    lines = _measured(stream_lines(spark, source, files_per_batch=1))
     path = new_scratch_path(spark, "batch-counts")
     query = batch_counts(
         lines, path, new_scratch_path(spark, "batch-state"), None, *_batch_measures()
@@ -112,7 +132,7 @@ def _stream_lifecycle(spark, folder):
     raw_lines(spark, folder, early).write.option("compression", "gzip").text(path)
     counts = new_scratch_path(spark, "timed-counts")
     query = batch_counts(
-        stream_lines(spark, path),
+        _measured(stream_lines(spark, path)),
         counts,
         new_scratch_path(spark, "timed-state"),
         "1 second",

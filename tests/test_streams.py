@@ -151,3 +151,29 @@ def test_parts_of_the_records_are_told_before_their_lines_are_made(spark, data):
     for half in halves:
         plan = half._jdf.queryExecution().optimizedPlan().toString()
         assert plan.count("decimal(9,4)") == whole._jdf.queryExecution().optimizedPlan().toString().count("decimal(9,4)")
+
+
+def test_measures_of_a_line_are_made_once(spark, data, monkeypatch):
+    """What reaches the count of a batch holds no lines, so that no measure splits them again; odd lines count as if they were split."""
+    seen, plain = [], streams.batch_counts
+
+    def counts(stream, *rest):
+        seen.append(stream.columns)
+        return plain(stream, *rest)
+
+    monkeypatch.setattr(streams, "batch_counts", counts)
+    for name in ("stream_micro_batch", "stream_lifecycle"):
+        streams.QUERIES[name](spark, data).collect()
+    assert len(seen) == 2 and all("value" not in columns for columns in seen)
+
+    middle = ",".join("x" * 40)
+    texts = ["", ",", "normal.", f"3,{middle},normal.", f"4,{middle},smurf.", f"5,{middle},", f"6,{middle},normal.,more", f"7,{middle},é,normal.",
+             "tcp," + ",".join("x" * 39) + ",normal.", f"8,{middle},normal.,", "," * 39]
+
+    def split(text):
+        fields = text.split(",")
+        normal = fields[41] == "normal." if len(fields) > 41 else None
+        return len(text), None if normal is None else int(fields[0]), normal
+
+    measured = streams._measured(spark.createDataFrame([(t,) for t in texts], "value string"))
+    assert sorted(measured.collect(), key=str) == sorted(map(split, texts), key=str)
