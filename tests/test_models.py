@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from connlens.operators import classifiers as K
 from connlens.operators import evaluation as E
 from connlens.operators import features as Q
-from connlens.plans import modelling
+from connlens.plans import modelling, roles
 from connlens.sources import tables
 
 
@@ -198,3 +198,60 @@ def test_rows_bound_what_a_task_of_training_reads(spark, data, sides, monkeypatc
     K.logistic_regression(train, ["u", "v"])
     K.decision_tree(train, ["u", "v"], ["colour"])
     assert max(seen) <= 110
+
+
+def test_sides_of_training_are_kept_on_disk_as_columns_of_the_table(spark, data, monkeypatch):
+    """The same rows as the split of the records; each partition is bounded, nothing is kept in memory, nor after the block."""
+    plain = [sorted(map(str, side.collect())) for side in modelling._sides(modelling._labelled(spark, data))]
+    monkeypatch.setattr(modelling, "TASK_ROWS", 300)
+    levels, keep = [], roles.kept
+
+    def watched(df, level):
+        levels.append((level.useMemory, level.useDisk, df.columns))
+        return keep(df, level)
+
+    monkeypatch.setattr(roles, "kept", watched)
+    persistent = spark.sparkContext._jsc.getPersistentRDDs
+    before = set(persistent())
+    with modelling._kept_sides(spark, data) as sides:
+        assert [sorted(map(str, side.collect())) for side in sides] == plain
+        for side in sides:
+            assert max(r["count"] for r in side.groupBy(F.spark_partition_id()).count().collect()) <= 330
+        assert len(set(persistent()) - before) == 2
+    assert levels == [(False, True, roles.COLUMNS)] * 2 and set(persistent()) <= before
+
+
+@pytest.mark.parametrize("name", ["logistic_chi", "decision_tree", "decision_tree_multi", "linear_svm"])
+def test_training_writes_no_wide_copies(spark, data, monkeypatch, name):
+    """Only metrics, documents' ratios and category numbers are written; rows are not kept a second time before training."""
+    widths, plain, again = [], modelling.cut_lineage, []
+
+    def watched(df):
+        widths.append(len(df.columns))
+        return plain(df)
+
+    monkeypatch.setattr(modelling, "cut_lineage", watched)
+    evenly = K.kept_evenly
+
+    def kept_again(df, *rest):
+        again.append(df.columns)
+        return evenly(df, *rest)
+
+    monkeypatch.setattr(K, "kept_evenly", kept_again)
+    assert modelling.QUERIES[name](spark, data).count() in (1, 2)
+    assert widths and max(widths) <= 6
+    assert all(len(columns) <= 4 for columns in again)
+
+
+def test_tree_models_share_their_points(sides, monkeypatch):
+    """Points are joined to their groups and kept once for several models, which are the same as without sharing."""
+    train, _ = sides
+    shared = K.tree_features(train, ["u", "v"], ["colour"])
+    own = [fit(train, ["u", "v"], ["colour"], stages=shared) for fit in (K.decision_tree, K.gradient_boosting)]
+    kept, plain = [], K.kept_while
+    monkeypatch.setattr(K, "kept_while", lambda df, level: kept.append(level.useMemory) or plain(df, level))
+    with K.tree_points(train, shared) as points:
+        both = [fit(points, ["u", "v"], ["colour"], stages=shared) for fit in (K.decision_tree, K.gradient_boosting)]
+    assert kept == [False]
+    for one, other in zip(own, both):
+        assert one.stages[-1].toDebugString.split("\n")[1:] == other.stages[-1].toDebugString.split("\n")[1:]
