@@ -22,7 +22,7 @@ from connlens.operators import classifiers as K
 from connlens.operators import evaluation as E
 from connlens.operators import features as Q
 from connlens.plans.roles import KEY, interactions, kept_interactions, over_interactions
-from connlens.sources import cut_lineage, kept, read_table
+from connlens.sources import cut_lineage, read_table
 from connlens.sources.tables import TASK_ROWS
 
 TEST_FRACTION = 0.2
@@ -224,51 +224,48 @@ def _classification_metrics(spark, folder):
 
 
 def _all_models(rows):
-    """(models, seconds): every model on the same kept rows; trees share their category groups."""
+    """(models, seconds): every model on the same kept rows; trees share their points, with their category groups."""
     shared = K.tree_features(rows, INDEXED_NUMBERS, CATEGORIES)
-    fits = {
-        **{
-            f"logistic, {group}": lambda g=group: K.logistic_regression(rows, FEATURE_GROUPS[g])
-            for group in ("numeric", "uncorrelated", "chi_selected")
-        },
-        "decision tree": lambda: K.decision_tree(rows, INDEXED_NUMBERS, CATEGORIES, stages=shared),
-        "random forest": lambda: K.random_forest(rows, INDEXED_NUMBERS, CATEGORIES, stages=shared),
-        "gradient boosting": lambda: K.gradient_boosting(rows, INDEXED_NUMBERS, CATEGORIES, stages=shared),
-        "linear svm": lambda: K.linear_svm(rows, INDEXED_NUMBERS, CATEGORIES),
-    }
-    models, seconds = {}, {}
-    for name, fit in fits.items():
-        start = time.perf_counter()
-        models[name] = fit()
-        seconds[name] = time.perf_counter() - start
+    with K.tree_points(rows, shared) as points:
+        fits = {
+            **{
+                f"logistic, {group}": lambda g=group: K.logistic_regression(rows, FEATURE_GROUPS[g], keep=False)
+                for group in ("numeric", "uncorrelated", "chi_selected")
+            },
+            "decision tree": lambda: K.decision_tree(points, INDEXED_NUMBERS, CATEGORIES, stages=shared),
+            "random forest": lambda: K.random_forest(points, INDEXED_NUMBERS, CATEGORIES, stages=shared),
+            "gradient boosting": lambda: K.gradient_boosting(points, INDEXED_NUMBERS, CATEGORIES, stages=shared),
+            "linear svm": lambda: K.linear_svm(rows, INDEXED_NUMBERS, CATEGORIES, keep=False),
+        }
+        models, seconds = {}, {}
+        for name, fit in fits.items():
+            start = time.perf_counter()
+            models[name] = fit()
+            seconds[name] = time.perf_counter() - start
     return models, seconds
 
 
-def _fitted(spark, folder):
-    train, test = map(cut_lineage, _sides(_labelled(spark, folder)))
-    with kept(train.select("label", *CATEGORIES, *INDEXED_NUMBERS)) as rows:
-        models, seconds = _all_models(rows)
-    return models, seconds, train, test
-
-
 def _model_comparison(spark, folder):
-    models, _, train, test = _fitted(spark, folder)
-    return _checked(models, train, test, COMPARED_MARGINS)
+    with _kept_sides(spark, folder) as (train, test):
+        models, _ = _all_models(train)
+        return _checked(models, train, test, COMPARED_MARGINS)
 
 
 def _model_metrics(spark, folder):
     """The metrics of every model, with the seconds that its training and its scoring took."""
-    models, seconds, train, test = _fitted(spark, folder)
-    scoring = {}
-    for name, model in models.items():
-        start = time.perf_counter()
-        K.predict(model, test).agg(F.sum("prediction")).first()
-        scoring[name] = time.perf_counter() - start
+    with _kept_sides(spark, folder) as (train, test):
+        models, seconds = _all_models(train)
+        scoring = {}
+        for name, model in models.items():
+            start = time.perf_counter()
+            K.predict(model, test).agg(F.sum("prediction")).first()
+            scoring[name] = time.perf_counter() - start
+        metrics = cut_lineage(_metrics(models, train, test))  # one row per model
     times = spark.createDataFrame(
         [(name, seconds[name], scoring[name]) for name in models],
         "model string, training_seconds double, scoring_seconds double",
     )
-    return _metrics(models, train, test).join(F.broadcast(times), "model", "left")
+    return metrics.join(F.broadcast(times), "model", "left")
 
 
 QUERIES = {
